@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webtext.functions.patterns import (
@@ -96,6 +96,15 @@ def clean_words(clean_text: Column) -> Column:
     return F.array_remove(F.split(clean_text, " "), "")
 
 
+def each_token(df: DataFrame, tokens: str, *carried: str, name: str = "token") -> DataFrame:
+    """One row per token: ``(*carried, name)``.
+
+    The outer form with a filter behind it, because for the plain form the optimizer puts a test
+    for empty arrays in front, which computes the tokens a second time.
+    """
+    return df.select(*carried, F.explode_outer(tokens).alias(name)).filter(F.col(name).isNotNull())
+
+
 def join_words(tokens: Column) -> Column:
     return F.array_join(tokens, " ")
 

@@ -184,7 +184,8 @@ def links(pages: DataFrame, keys: tuple[str, ...] = ("page_id", "url"), resolve:
     """Every ``<a href="...">``, one row each, joined to the site the page came from."""
     return (
         spread(pages.filter(F.col("html").isNotNull()))
-        .select(*keys, html.origin(F.col("url")).alias("_site"), F.posexplode(html.hrefs(F.col("html"))))
+        .select(*keys, html.origin(F.col("url")).alias("_site"), F.posexplode_outer(html.hrefs(F.col("html"))))
+        .filter(F.col("pos").isNotNull())
         .select(
             *keys,
             F.col("pos"),
@@ -232,7 +233,8 @@ def cards(
     """
     site = F.col("url") if site is None else site
     return (
-        spread(pages).select(*keys, site.alias("_site"), F.posexplode(_tree_cards(profile)("html")))
+        spread(pages).select(*keys, site.alias("_site"), F.posexplode_outer(_tree_cards(profile)("html")))
+        .filter(F.col("pos").isNotNull())
         .select(*keys, "_site", "pos", "col.*")
         .select(
             *keys,

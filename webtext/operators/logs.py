@@ -53,7 +53,9 @@ def route_levels(lines: DataFrame, level: str = "level") -> DataFrame:
 
     The four sinks are literals, so the range match runs inside the row: no join, no shuffle.
     """
-    return lines.withColumn("sink", F.explode(logline.accepting_sinks(F.col(level))))
+    return lines.withColumn("sink", F.explode_outer(logline.accepting_sinks(F.col(level)))).filter(
+        F.col("sink").isNotNull()
+    )
 
 
 def with_day(lines: DataFrame, ts: str = "ts") -> DataFrame:

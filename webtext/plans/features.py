@@ -59,7 +59,7 @@ def bow_counts(spark, folder):
 def _given_vectors(spark, folder, share: int) -> WordVectors:
     """Vectors for about one in ``share`` words of the documents, picked by hash of the word."""
     vectors = store.table(spark, folder, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
-    words = _tokens(spark, folder).select(F.explode("tokens").alias("word")).distinct()
+    words = clean.each_token(_tokens(spark, folder), "tokens", name="word").distinct()
     digest = F.conv(F.substring(F.md5("word"), 1, 13), 16, 10).cast("long")
     size = vectors.agg(F.count("*")).scalar()
     keyed = words.withColumn("vec_id", F.pmod(digest, size * share))
@@ -68,7 +68,7 @@ def _given_vectors(spark, folder, share: int) -> WordVectors:
 
 def mean_embedding(spark, folder):
     means = _given_vectors(spark, folder, 2).mean(_tokens(spark, folder), "doc_id", F.col("tokens"))
-    cells = means.select("doc_id", F.posexplode("vector").alias("dim", "value"))
+    cells = means.select("doc_id", F.posexplode_outer("vector").alias("dim", "value"))
     return cells.select("doc_id", "dim", F.round("value", 5).alias("value"))
 
 

@@ -57,13 +57,13 @@ def _tag(token: Column) -> Column:
 
 
 def pos_class(spark, folder):
-    tagged = _tokens(spark, folder).select(F.explode("tokens").alias("token")).select(_tag(F.col("token")).alias("tag"))
+    tagged = clean.each_token(_tokens(spark, folder), "tokens").select(_tag(F.col("token")).alias("tag"))
     return tagged.groupBy("tag", clean.word_class(F.col("tag")).alias("cls")).agg(F.count("*").alias("n"))
 
 
 def _plurals(spark, folder):
     """Words in the documents that lose a final ``s``: a base-form table from the data."""
-    words = _tokens(spark, folder).select(F.explode("tokens").alias("token")).distinct()
+    words = clean.each_token(_tokens(spark, folder), "tokens").distinct()
     long = (F.length("token") > 3) & (F.length("token") % 2 == 0) & F.endswith("token", F.lit("s"))
     base = F.substr("token", F.lit(1), F.length("token") - 1)
     return words.filter(long).select("token", base.alias("base"))
@@ -111,9 +111,9 @@ QUERIES = {
     "strip_refs": strip_refs,
     "clean_text": _cleaned,
     "stopwords_removed": stopwords_removed,
-    "tokens": lambda spark, folder: _tokens(spark, folder).select(
-        "doc_id", F.posexplode("tokens").alias("pos", "token")
-    ),
+    "tokens": lambda spark, folder: _tokens(spark, folder)
+    .select("doc_id", F.posexplode_outer("tokens").alias("pos", "token"))
+    .filter(F.col("token").isNotNull()),
     "pos_class": pos_class,
     "lemmatized": lemmatized,
     "stemmed": stemmed,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webtext.functions import logline
+from webtext.session import spread
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -17,7 +18,7 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     ``raw`` and has NULL elsewhere. ``ts`` has no zone, like the line.
     """
     kept = [name for name in lines.columns if name != column]
-    split = lines.select(
+    split = spread(lines).select(
         *kept, F.col(column).alias("raw"), F.split(F.col(column), logline.FIELD_BAR, 5).alias("_f")
     )
     fields = split.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -20,7 +21,7 @@ def rows_of(columns, rows):
 
 
 def main(folder, names):
-    spark = build_session("check")
+    spark = build_session("check", **dict(item.split("=", 1) for item in os.environ.get("CHECK_CONF", "").split()))
     db = duckdb.connect()
     for file in Path(folder).glob("*.parquet"):
         db.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")

@@ -12,7 +12,8 @@ from pyspark.sql.types import TimestampNTZType
 def retention_plan(catalogue: DataFrame, now: datetime, prefix: str = "logstash-", days: int = 2) -> DataFrame:
     """Collections ``(name, creation_date)`` to drop: right prefix and strictly older than ``days``."""
     kind = catalogue.schema["creation_date"].dataType
-    moment = F.lit(now).cast("timestamp_ntz" if isinstance(kind, TimestampNTZType) else "timestamp")
+    # As text, so that no zone conversion takes place on the way.
+    moment = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz" if isinstance(kind, TimestampNTZType) else "timestamp")
     oldest_kept = moment - F.make_dt_interval(F.lit(days))
     return catalogue.filter(F.col("name").startswith(prefix) & (F.col("creation_date") < oldest_kept))
 

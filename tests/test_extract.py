@@ -1,3 +1,5 @@
+import html as stdlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,6 +103,20 @@ def test_unescape(spark):
     assert [r[0] for r in df.select(html.unescape(F.col("t"))).collect()] == ["a &lt; &lt; Aж 😀 � \"", None]
 
 
+def test_references_without_semicolon(spark):
+    df = spark.createDataFrame([("a&amp b &copy1 &ampamp; &ampcopy &hellip x&lt",)], "t string")
+    row = df.select(html.unescape(F.col("t")).alias("text"), html.unescape(F.col("t"), attribute=True).alias("attr")).first()
+    assert row["text"] == stdlib.unescape("a&amp b &copy1 &ampamp; &ampcopy x&lt").replace(" x", " &hellip x")
+    assert row["attr"] == "a&amp b &copy1 &ampamp; &ampcopy &hellip x&lt"
+
+
+def test_query_string_in_a_link_stays(spark):
+    markup = '<li><a href="/p?a=1&copy=2&amp;b=3&lt=4">x</a></li>'
+    pages = spark.createDataFrame([(1, "https://h.test/", markup)], "page_id long, url string, html string")
+    assert extract.links(pages).first()["href"] == "/p?a=1&copy=2&b=3&lt=4"
+    assert extract.cards(pages, extract.PLAIN_PAGES_TREE).first()["href"] == "/p?a=1&copy=2&b=3&lt=4"
+
+
 def test_links_keep_or_resolve_absolute_targets(spark):
     pages = spark.createDataFrame(
         [(1, "https://h.test/p?q", '<a href="/x">1</a><A  HREF="https://o.test/y">2</a><a name="n">3</a>')],

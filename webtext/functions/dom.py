@@ -7,6 +7,7 @@ regular expressions cannot follow. Spark partitions the pages and ships them in
 from __future__ import annotations
 
 import re
+from html import unescape
 from html.parser import HTMLParser
 
 # Fixed values from the HTML standard: elements without content, elements that
@@ -78,6 +79,18 @@ class Element:
         return HTML_SPACE.sub(" ", "".join(parts)).strip(" ")
 
 
+def _attribute(raw, name, value):
+    """Value of an attribute, decoding only references with a semicolon.
+
+    Some versions of the tokenizer take ``&copy`` in ``?a&copy=1`` for a sign.
+    """
+    found = re.search(rf"""(?i)[\s"'/]{re.escape(name)}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", raw)
+    if found is None:
+        return value
+    written = next(group for group in found.groups() if group is not None)
+    return re.sub(r"&#?\w+;", lambda reference: unescape(reference[0]), written)
+
+
 class _TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -100,6 +113,9 @@ class _TreeBuilder(HTMLParser):
             # A row closes its open cell first, then the row before it.
             for closing in (SIBLING_CLOSES[tag] - {tag}, {tag}):
                 self._close(closing, SCOPE - SIBLING_CLOSES[tag])
+        raw = self.get_starttag_text() or ""
+        if "&" in raw:
+            attrs = [(name, _attribute(raw, name, value)) for name, value in attrs]
         element = Element(tag, attrs)
         self.open[-1].nodes.append(element)
         if tag not in VOID:

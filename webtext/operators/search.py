@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webtext.functions.patterns import SEARCH_TOKEN
-from webtext.session import spread
 from webtext.sources.collections import source_json
 
 # The usual BM25 parameters.
@@ -63,26 +62,35 @@ def _none(documents: DataFrame, key: str) -> Hits:
     return Hits(documents.filter(F.lit(False)).withColumn("_score", F.lit(0.0)), key)
 
 
+def _held(df: DataFrame, value: Column) -> DataFrame:
+    """Add a column through a one-element generator.
+
+    A filter on the column stays behind the generator. With a plain projection the optimizer would
+    move the expression into the filter and compute it once per use.
+    """
+    return df.select("*", F.inline_outer(F.array(F.struct(value))))
+
+
 def _ranked(documents: DataFrame, column: str, key: str, terms: Counter) -> Hits:
     if not terms:
         return _none(documents, key)
     names = sorted(terms)
-    text = F.col(column)
-    lowered = F.lower(text)
 
-    def token_counts(source):
-        # A term occurs as often as its removal shortens the token array.
-        return source.withColumn("_tokens", tokens(text)).select(
-            *[name for name in source.columns],
+    def token_counts(lowered, kept):
+        tokenized = lowered.withColumn("_tokens", F.regexp_extract_all("_lowered", F.lit(SEARCH_TOKEN), F.lit(0)))
+        return tokenized.select(
+            *kept,
             F.size("_tokens").alias("_length"),
+            # A term occurs as often as its removal shortens the token array.
             *[
                 (F.size("_tokens") - F.size(F.array_remove("_tokens", F.lit(term)))).alias(f"_tf{i}")
                 for i, term in enumerate(names)
             ],
         )
 
+    texts = documents.select(column).filter(F.col(column).isNotNull())
     corpus = (
-        token_counts(spread(documents.select(column).filter(text.isNotNull())))
+        token_counts(texts.select(F.lower(column).alias("_lowered")), [])
         .agg(
             F.count("*").alias("n"),
             F.avg("_length").alias("mean_length"),
@@ -91,11 +99,12 @@ def _ranked(documents: DataFrame, column: str, key: str, terms: Counter) -> Hits
         .select(F.struct("*").alias("corpus"))
         .scalar()
     )
-
     # Substring tests spare most documents the pattern, the pattern spares the rest the tokenizer.
+    substring = reduce(lambda a, b: a | b, [F.contains("_lowered", F.lit(term)) for term in names])
     whole_token = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(names)})(?![\p{{L}}\p{{N}}])"
-    holds_any = reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(term)) for term in names])
-    matched = token_counts(spread(documents).filter(holds_any & lowered.rlike(whole_token)))
+    lowered = _held(documents, F.lower(column).alias("_lowered"))
+    hits = lowered.filter(substring & F.col("_lowered").rlike(whole_token))
+    matched = token_counts(hits, documents.columns)
     length_part = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("_length") / corpus["mean_length"])
     score = F.lit(0.0)
     for i, term in enumerate(names):

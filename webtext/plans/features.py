@@ -10,12 +10,12 @@ from webtext.operators import classify, metrics, splits, tfidf
 from webtext.operators.embedding import WordVectors
 from webtext.plans import sql
 from webtext.plans.text import _cleaned, _tokens
-from webtext.session import materialise, spread
+from webtext.session import materialise
 from webtext.sources import collections as store
 
 
 def _documents(spark, folder):
-    return store.table(spark, folder, "documents").select("doc_id", "text")
+    return store.scan(spark, folder, "documents").select("doc_id", "text")
 
 
 def _parts(first: DataFrame, second: DataFrame, names: tuple[str, str]) -> DataFrame:
@@ -32,7 +32,7 @@ def _split(spark, folder) -> tuple[DataFrame, DataFrame]:
     first, _ = splits.half_split(_documents(spark, folder), "doc_id")
     cleaned = clean.preprocess(F.col("text")).alias("clean_text")
     train, test = splits.train_test_split(first, "doc_id")
-    return spread(train).select("doc_id", cleaned), spread(test).select("doc_id", cleaned)
+    return train.select("doc_id", cleaned), test.select("doc_id", cleaned)
 
 
 def train_test_split(spark, folder):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from webtext.functions import logline
 from webtext.operators import logs, retention
 from webtext.plans import sql
-from webtext.session import fresh_dir, spread
+from webtext.session import fresh_dir
 from webtext.sources import collections as store
 from webtext.sources import lines
 
@@ -42,7 +42,7 @@ def event_lines(spark, folder):
         F.col("event_id") % 1000,
         F.concat_ws(" | ", "event_type", "props"),
     )
-    return spread(_events(spark, folder)).select("event_id", line.alias("value"))
+    return store.scan(spark, folder, "events").select("event_id", line.alias("value"))
 
 
 def _parsed(spark, folder):

@@ -12,7 +12,7 @@ from webtext.sources import collections as store
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    return store.table(spark, folder, "pages")
+    return store.scan(spark, folder, "pages")
 
 
 def _records(spark: SparkSession, folder: str, profile=extract.PLAIN_PAGES) -> DataFrame:
@@ -24,7 +24,7 @@ def _shown(records: DataFrame) -> DataFrame:
 
 
 def page_scan(spark, folder):
-    return store.fetched_pages(_pages(spark, folder)).select("page_id", "url", F.length("html").alias("html_chars"))
+    return store.fetched_pages(store.table(spark, folder, "pages")).select("page_id", "url", F.length("html").alias("html_chars"))
 
 
 def page_titles(spark, folder):
@@ -88,7 +88,7 @@ def _site_page() -> Column:
 
 
 def site_articles(spark, folder):
-    documents = store.table(spark, folder, "documents")
+    documents = store.scan(spark, folder, "documents")
     pages = documents.select(
         "doc_id", F.concat(F.lit("https://site.test/n/"), F.col("doc_id")).alias("url"), _site_page().alias("html")
     )
@@ -105,7 +105,7 @@ def _listing() -> Column:
 
 
 def site_cards(spark, folder):
-    pages = store.table(spark, folder, "documents").select(
+    pages = store.scan(spark, folder, "documents").select(
         "doc_id", F.concat(F.lit("https://"), F.col("lang"), F.lit(".test")).alias("url"), _listing().alias("html")
     )
     return extract.cards(pages, keys=("doc_id",)).select("doc_id", "pos", "title", "href", "link")

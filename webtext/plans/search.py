@@ -17,11 +17,11 @@ def _documents(spark, folder):
 
 
 def _match(spark, folder):
-    return search.match(_documents(spark, folder), "text", TEXT, "doc_id")
+    return search.match(store.scan(spark, folder, "documents"), "text", TEXT, "doc_id")
 
 
 def _term(spark, folder):
-    return search.term(_documents(spark, folder), "text", TOKEN, "doc_id")
+    return search.term(store.scan(spark, folder, "documents"), "text", TOKEN, "doc_id")
 
 
 def _scored(hits):

@@ -31,7 +31,7 @@ def stream_articles(spark, folder):
 def stream_messages(spark, folder):
     """Publish page addresses to a queue, consume it, parse the page of each message."""
     waiting, output, checkpoint = (fresh_dir(spark, name) for name in ("queue", "parsed", "parsed-done"))
-    pages = store.table(spark, folder, "pages")
+    pages = store.scan(spark, folder, "pages")
     queue.publish(pages.select("url"), waiting)
     jobs.run_once(jobs.parse_messages(queue.consume(spark, waiting), pages), output, checkpoint)
     return page_plans._shown(spark.read.parquet(output))

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from webtext.functions import clean
 from webtext.operators import lemmas, profile
 from webtext.plans import sql
-from webtext.session import materialise, spread
+from webtext.session import materialise
 from webtext.sources import collections as store
 
 TAGS = ("С", "Г", "NNS", "Р", "П")
 
 
 def _documents(spark, folder):
-    return spread(store.table(spark, folder, "documents").select("doc_id", "text"))
+    return store.scan(spark, folder, "documents").select("doc_id", "text")
 
 
 def _frame(spark, folder):

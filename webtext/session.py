@@ -67,10 +67,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a small input one partition per core before CPU-heavy column work.
+    """Give a small file scan one partition per core before CPU-heavy column work.
 
     Fewer partitions than cores means the files are few and small (a partition of a splittable
-    file has a bounded size), so the shuffle is small too. A large input is returned as it is.
+    file has a bounded size), so the shuffle is small too. A large scan is returned as it is. Only
+    for scans: asking a plan with shuffles for its partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -10,12 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from webtext.operators.extract import ARTICLE_FIELDS
+from webtext.session import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table for CPU-heavy work: a small one is spread over the cores."""
+    return spread(table(spark, folder, name))
+
+
 def fetched_pages(pages: DataFrame) -> DataFrame:
     """Pages that were fetched; a failed fetch has no ``html``."""
     return pages.filter(F.col("html").isNotNull())

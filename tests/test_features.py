@@ -83,7 +83,11 @@ def test_tfidf(spark, join_mode):
 
 
 def test_tfidf_rows_have_length_one(documents, join_mode):
-    model = TfidfModel.fit(documents, "doc_id", "text")
+    model, weights = TfidfModel.fit_transform(documents, "doc_id", "text")
+    again = model.transform(documents, "doc_id", "text")
+    assert weights.count() == again.count() and weights.select("doc_id", "term", F.round("value", 9)).exceptAll(
+        again.select("doc_id", "term", F.round("value", 9))
+    ).count() == 0
     norms = model.transform(documents, "doc_id", "text").groupBy("doc_id").agg(F.sum(F.col("value") ** 2).alias("s"))
     assert norms.filter(F.abs(F.col("s") - 1) > 1e-9).count() == 0
 

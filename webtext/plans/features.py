@@ -45,13 +45,21 @@ def tfidf_vocab(spark, folder):
     return model.vocabulary.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
-def _tfidf(spark, folder, part):
-    parts = _split(spark, folder)
-    model = tfidf.TfidfModel.fit(parts[0], "doc_id", "clean_text")
-    weights = model.transform(parts[part], "doc_id", "clean_text")
+def _shown_weights(weights: DataFrame) -> DataFrame:
     return weights.select("doc_id", "term", F.round("value", 6).alias("value"))
 
 
+def tfidf_train(spark, folder):
+    train, _ = _split(spark, folder)
+    return _shown_weights(tfidf.TfidfModel.fit_transform(train, "doc_id", "clean_text")[1])
+
+
+def tfidf_test(spark, folder):
+    train, test = _split(spark, folder)
+    model = tfidf.TfidfModel.fit(train, "doc_id", "clean_text")
+    return _shown_weights(model.transform(test, "doc_id", "clean_text"))
+
+
 def bow_counts(spark, folder):
     return tfidf.bag_of_words(_cleaned(spark, folder), "doc_id", "clean_text")
 
@@ -138,8 +146,8 @@ QUERIES = {
     "half_split": half_split,
     "train_test_split": train_test_split,
     "tfidf_vocab": tfidf_vocab,
-    "tfidf_train": lambda spark, folder: _tfidf(spark, folder, 0),
-    "tfidf_test": lambda spark, folder: _tfidf(spark, folder, 1),
+    "tfidf_train": tfidf_train,
+    "tfidf_test": tfidf_test,
     "bow_counts": bow_counts,
     "mean_embedding": mean_embedding,
     "mean_embedding_zero": mean_embedding_zero,

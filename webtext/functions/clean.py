@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webtext.functions import stopwords
 from webtext.functions.patterns import (
     DIGIT,
     EDGE,
@@ -110,8 +110,8 @@ def join_words(tokens: Column) -> Column:
 
 
 def stop_words(language: str = "russian") -> list[str]:
-    """Spark's own stop list of a language (about 150 words)."""
-    return StopWordsRemover.loadDefaultStopWords(language)
+    """The stop list of a language (about 150 words); plain data, the same for every reader."""
+    return stopwords.words(language)
 
 
 def drop_stop_words(tokens: Column, stop: Iterable[str]) -> Column:

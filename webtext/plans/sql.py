@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-
-import pyspark
-
 from webtext.functions.html import BARE_REFERENCES, NAMED_REFERENCES
 
 WS = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
@@ -64,14 +59,6 @@ def search_tokens(x: str) -> str:
     return rf"regexp_extract_all(lower({x}), '[\p{{L}}\p{{N}}]+')"
 
 
-def stop_words(language: str) -> list[str]:
-    """The list Spark ships, read without a running JVM."""
-    jar = next(Path(pyspark.__path__[0], "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as files:
-        text = files.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode()
-    return text.split()
-
-
 HALF = """
 half AS (
   SELECT *, row_number() OVER (ORDER BY doc_id) <= (count(*) OVER () + 1) // 2 AS first_half FROM documents

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webtext.functions import clean
+from webtext.functions import clean, stopwords
 from webtext.operators import lemmas, profile
 from webtext.plans import sql
 from webtext.session import materialise
@@ -132,7 +132,7 @@ _PLURAL = "length(x) > 3 AND length(x) % 2 = 0 AND suffix(x, 's')"
 
 
 def _stop_list(language: str) -> str:
-    return ", ".join(sql.quote(word) for word in sql.stop_words(language))
+    return ", ".join(sql.quote(word) for word in stopwords.words(language))
 
 
 SQL = {

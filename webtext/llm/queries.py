@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from webtext.llm import packing
+from webtext.llm import langid, packing, toxicity
 from webtext.llm.rows import table
 from webtext.session import materialise
 
@@ -19,8 +19,26 @@ def op1_best_fit_packing(spark, folder):
     return packing.pack(materialise(digests, "piece-digests"), 4096, ("doc_id", "piece", "ids_crc32"))
 
 
+def op2_toxicity(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = toxicity.remainder("doc_id", 3) == 1
+    model = toxicity.fit(docs, labels.filter(~held_out))
+    return model.score(docs).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+def op5_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = toxicity.remainder("doc_id", 4) == 2
+    model = langid.fit(docs.filter(~held_out))
+    return model.predict(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_toxicity": op2_toxicity,
+    "op5_language_id": op5_language_id,
 }
 
 SQL: dict[str, str] = {}

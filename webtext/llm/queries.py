@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from webtext.llm import langid, packing, toxicity
+from webtext.llm import langid, packing, secretscan, tokencount, toxicity
 from webtext.llm.rows import table
 from webtext.session import materialise
 
@@ -35,10 +35,29 @@ def op5_language_id(spark, folder):
     return model.predict(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_secret_scans(spark, folder):
+    found = secretscan.scan(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda span: span["depth"] == 0)
+
+    def number(kind):
+        return F.size(F.filter(base, lambda span: span["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in secretscan.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(secretscan.joined(base).cast("binary"), 256).alias("base_sha256"), secretscan.joined(F.col("spans")).alias("spans")
+    )
+
+
+def op8_token_counts(spark, folder):
+    return tokencount.count_tokens(table(spark, folder, "documents"), BYTE_VOCABULARY)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
     "op5_language_id": op5_language_id,
+    "op7_secret_scans": op7_secret_scans,
+    "op8_token_counts": op8_token_counts,
 }
 
 SQL: dict[str, str] = {}

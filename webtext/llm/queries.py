@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from webtext.llm import langid, packing, secretscan, tokencount, toxicity
+from webtext.llm import jaccard, langid, packing, secretscan, tokencount, toxicity
 from webtext.llm.rows import table
 from webtext.session import materialise
 
@@ -52,12 +52,17 @@ def op8_token_counts(spark, folder):
     return tokencount.count_tokens(table(spark, folder, "documents"), BYTE_VOCABULARY)
 
 
+def op10_ngram_jaccard_join(spark, folder):
+    return jaccard.join(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
     "op5_language_id": op5_language_id,
     "op7_secret_scans": op7_secret_scans,
     "op8_token_counts": op8_token_counts,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 SQL: dict[str, str] = {}

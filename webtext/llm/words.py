@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
+import xxhash
 
 #: Runs of letters and digits.
 WORD = re.compile(r"[^\W_]+")
@@ -16,9 +16,9 @@ class Numbered:
 
     def __init__(self, limit: int = 500_000):
         self.limit = limit
-        self.known: dict[str, int] = {}
+        self.known: dict[str | bytes, int] = {}
 
-    def number(self, words: list[str]) -> tuple[np.ndarray, list[str], bool]:
+    def number(self, words: list) -> tuple[np.ndarray, list, bool]:
         """Numbers of ``words``, the words that are new (numbered in this order from the end), and whether all was forgotten."""
         at = list(map(self.known.get, words))
         new: list[str] = []
@@ -35,20 +35,19 @@ class Numbered:
 
 
 class Hashed:
-    """64-bit hashes of words."""
+    """64-bit hashes of words (texts or bytes)."""
 
     def __init__(self):
         self.numbered = Numbered()
         self.hashes = np.zeros(0, np.uint64)
 
-    def hash(self, words: list[str]) -> np.ndarray:
+    def hash(self, words: list) -> np.ndarray:
         at, new, forgot = self.numbered.number(words)
         if forgot:
             self.hashes = np.zeros(0, np.uint64)
         if new:
-            low = np.fromiter((zlib.crc32(word.encode("utf-8", "surrogatepass")) for word in new), np.uint64, len(new))
-            size = np.fromiter(map(len, new), np.uint64, len(new))
-            self.hashes = np.concatenate((self.hashes, mix(low + (size << np.uint64(32)))))
+            found = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))
+            self.hashes = np.concatenate((self.hashes, found))
         return self.hashes[at]
 
 

@@ -258,3 +258,25 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row of ``docs``."""
     return Join(docs, key, text).result()
+
+
+def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, that have the smallest key of their component.
+
+    Of equal rows one stays. Rows without a word stay, and so do rows without a key.
+    """
+    found = materialise(join(docs, key, text), "jaccard-result")
+    gone = materialise(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone")
+    again = materialise(
+        found.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again"), "jaccard-again"
+    )
+
+    def of(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if fits_broadcast(table, 32 << 20) else table
+
+    left = docs.join(of(gone), F.col(key).cast("bigint") == F.col("_gone"), "left_anti")
+    if again.isEmpty():
+        return left
+    once = left.join(of(again), F.col(key).cast("bigint") == F.col("_again"), "left_anti")
+    repeated = left.join(of(again), F.col(key).cast("bigint") == F.col("_again"), "left_semi")
+    return once.unionByName(repeated.dropDuplicates([key, text]))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webtext.llm.rows import slices, texts_of
+from webtext.llm.rows import kept, slices, texts_of
 from webtext.llm.words import Numbered, mix
 
 BITS = 16
@@ -75,6 +75,21 @@ class Model:
         chosen = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
         return chosen.mapInArrow(run, "doc_id bigint, lang_pred string, score double")
 
+    def certain(self, docs: DataFrame, least: float, text: str = "text") -> DataFrame:
+        """The rows of ``docs`` with a language that holds at least the share ``least`` of the letters."""
+        model = docs.sparkSession.sparkContext.broadcast(self)
+
+        def judge():
+            labeller = Labeller(model.value)
+
+            def decide(texts: list[str]) -> np.ndarray:
+                names, scores = labeller.predict(texts)
+                return (scores >= least) & (np.array(names, dtype=object) != "und")
+
+            return decide
+
+        return kept(docs, text, judge)
+
     def spans(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         """``(doc_id, start, end, lang)``: runs of words of one language, in code points, end exclusive."""
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,17 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [text or "" for text in batch.column(column).to_pylist()]
 
 
+def kept(docs: DataFrame, text: str, judge: Callable[[], Callable[[list[str]], np.ndarray]]) -> DataFrame:
+    """The rows of ``docs``, with all columns, for which a judge made once per task says True to the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decide = judge()
+        for part in slices(batches, text):
+            yield part.filter(pa.array(decide(texts_of(part, text)), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def binary_column(data: np.ndarray, counts: np.ndarray) -> pa.Array:
     """One binary value per count, cut from the bytes of ``data`` one after another."""
     data = np.ascontiguousarray(data)

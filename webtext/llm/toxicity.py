@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webtext.llm.rows import slices, texts_of
+from webtext.llm.rows import kept, slices, texts_of
 from webtext.llm.words import WORD, Hashed, mix
 from webtext.session import materialise
 
@@ -105,8 +105,7 @@ class Model:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = model.value
-            dense = np.zeros(1 << own.bits, np.float32)
-            dense[own.buckets] = own.weights
+            dense = own.dense()
             for part in slices(batches, "text"):
                 scores = own.of(texts_of(part), dense)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores)], schema=schema)
@@ -114,6 +113,22 @@ class Model:
         chosen = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
         return chosen.mapInArrow(run, "doc_id bigint, score double")
 
+    def below(self, docs: DataFrame, limit: float, text: str = "text") -> DataFrame:
+        """The rows of ``docs`` whose score is below ``limit``."""
+        model = docs.sparkSession.sparkContext.broadcast(self)
+
+        def judge():
+            own = model.value
+            dense = own.dense()
+            return lambda texts: own.of(texts, dense) < limit
+
+        return kept(docs, text, judge)
+
+    def dense(self) -> np.ndarray:
+        weights = np.zeros(1 << self.bits, np.float32)
+        weights[self.buckets] = self.weights
+        return weights
+
     def of(self, texts: list[str], dense: np.ndarray) -> np.ndarray:
         if self.intercept is None:
             return np.zeros(len(texts))

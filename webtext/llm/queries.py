@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from webtext.llm import jaccard, langid, packing, secretscan, tokencount, toxicity
+from webtext.llm import jaccard, langid, neardup, packing, secretscan, tokencount, toxicity
 from webtext.llm.rows import table
 from webtext.session import materialise
 
@@ -35,6 +35,10 @@ def op5_language_id(spark, folder):
     return model.predict(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_embedding_near_dedup(spark, folder):
+    return neardup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op7_secret_scans(spark, folder):
     found = secretscan.scan(table(spark, folder, "documents"))
     base = F.filter("spans", lambda span: span["depth"] == 0)
@@ -60,6 +64,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
     "op5_language_id": op5_language_id,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_secret_scans": op7_secret_scans,
     "op8_token_counts": op8_token_counts,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,

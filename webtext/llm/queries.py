@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from webtext.llm import jaccard, langid, neardup, packing, secretscan, tokencount, toxicity
+from webtext.llm import ann, jaccard, langid, neardup, packing, secretscan, tokencount, toxicity
 from webtext.llm.rows import table
 from webtext.session import materialise
 
@@ -28,6 +28,10 @@ def op2_toxicity(spark, folder):
     )
 
 
+def op3_approximate_nearest_neighbours(spark, folder):
+    return ann.MultiIndex().search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op5_language_id(spark, folder):
     docs = table(spark, folder, "documents")
     held_out = toxicity.remainder("doc_id", 4) == 2
@@ -63,6 +67,7 @@ def op10_ngram_jaccard_join(spark, folder):
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
+    "op3_approximate_nearest_neighbours": op3_approximate_nearest_neighbours,
     "op5_language_id": op5_language_id,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_secret_scans": op7_secret_scans,

@@ -44,19 +44,10 @@ BYTE_RULE = rf"{_SHORT}| ?[{_L}]+| ?[{_N}]+| ?[^{_SPACE}{_L}{_N}]+|[{_SPACE}]+(?
 WORD_RULE = rf"{_SHORT}|[{_L}]+|[{_N}]|[^{_SPACE}{_L}{_N}]+"
 
 
-class Encoder:
-    """Encodes lists of texts with one vocabulary file: ``byte_bpe_*.json`` or ``word_bpe_*.json``."""
+class WordStore:
+    """Ids of words that were met, and a look-up of many at once. Forgets all when it holds ``cached`` words."""
 
-    def __init__(self, file: str, cached: int = 400_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.whole = Tokenizer.from_file(file)
-        self.whole.encode_special_tokens = True
-        self.words = Tokenizer(self.whole.model)
-        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.lower = self.whole.normalizer is not None
-        self.split = re.compile(WORD_RULE if self.lower else BYTE_RULE).findall
+    def __init__(self, cached: int = 400_000):
         self.cached = cached
         self._forget()
 
@@ -65,11 +56,14 @@ class Encoder:
         self.begins, self.counts = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
         self.store, self.stored = np.zeros(4096, np.uint32), 0
 
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of new words one after another, and the number of ids of each."""
+        raise NotImplementedError
+
     def _learn(self, words: list[str]) -> None:
-        ids = [e.ids for e in self.words.encode_batch_fast(words, add_special_tokens=False)]
-        first, counts = len(self.known), np.fromiter(map(len, ids), np.int32, len(ids))
+        flat, counts = self.encode_words(words)
+        first = len(self.known)
         self.known.update(zip(words, range(first, first + len(words))))
-        flat = np.fromiter((i for word in ids for i in word), np.uint32, int(counts.sum()))
         while len(self.counts) < len(self.known):
             self.begins, self.counts = np.resize(self.begins, 2 * len(self.begins)), np.resize(self.counts, 2 * len(self.counts))
         while len(self.store) < self.stored + len(flat):
@@ -79,6 +73,41 @@ class Encoder:
         self.store[self.stored : self.stored + len(flat)] = flat
         self.stored += len(flat)
 
+    def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``words`` one after another, and the number of ids of each."""
+        at = list(map(self.known.get, words))
+        if None in at:
+            new = list({word for word, place in zip(words, at) if place is None})
+            if len(self.known) + len(new) > self.cached:
+                self._forget()
+                new = list(set(words))
+            self._learn(new)
+            at = list(map(self.known.__getitem__, words))
+        at = np.array(at, np.int64)
+        lengths = self.counts[at].astype(np.int64)
+        return self.store[ranges(self.begins[at], lengths)], lengths
+
+
+class Encoder(WordStore):
+    """Encodes lists of texts with one vocabulary file: ``byte_bpe_*.json`` or ``word_bpe_*.json``."""
+
+    def __init__(self, file: str):
+        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(file)
+        self.whole.encode_special_tokens = True
+        self.words = Tokenizer(self.whole.model)
+        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.lower = self.whole.normalizer is not None
+        self.split = re.compile(WORD_RULE if self.lower else BYTE_RULE).findall
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.words.encode_batch_fast(words, add_special_tokens=False)]
+        counts = np.fromiter(map(len, ids), np.int32, len(ids))
+        return np.fromiter((i for word in ids for i in word), np.uint32, int(counts.sum())), counts
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another (uint32) and the number of ids of each text (int64)."""
         odd = [i for i, text in enumerate(texts) if _odd(text)]
@@ -86,17 +115,7 @@ class Encoder:
         skipped = set(odd)
         words = [[] if i in skipped else split(text.lower() if lower else text) for i, text in enumerate(texts)]
         flat = [word for text in words for word in text]
-        at = list(map(self.known.get, flat))
-        if None in at:
-            new = list({word for word, place in zip(flat, at) if place is None})
-            if len(self.known) + len(new) > self.cached:
-                self._forget()
-                new = list(set(flat))
-            self._learn(new)
-            at = list(map(self.known.__getitem__, flat))
-        at = np.array(at, np.int64)
-        lengths = self.counts[at].astype(np.int64)
-        ids = self.store[ranges(self.begins[at], lengths)]
+        ids, lengths = self.look_up(flat)
         per_text = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.concatenate(([0], np.cumsum(lengths)))
         text_ends = np.concatenate(([0], np.cumsum(per_text)))

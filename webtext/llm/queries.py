@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from webtext.llm import ann, jaccard, langid, neardup, packing, secretscan, tokencount, toxicity
+from webtext.llm import ann, jaccard, langid, neardup, packing, pieces, secretscan, tokencount, toxicity
 from webtext.llm.rows import table
 from webtext.session import materialise
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_best_fit_packing(spark, folder):
@@ -60,6 +61,18 @@ def op8_token_counts(spark, folder):
     return tokencount.count_tokens(table(spark, folder, "documents"), BYTE_VOCABULARY)
 
 
+def op9_sentencepiece(spark, folder):
+    """Digests of each document's ids with merge-dropout and of the text that they decode to."""
+    docs = table(spark, folder, "documents")
+    decoded = pieces.decode(pieces.encode(docs, PIECE_MODEL), PIECE_MODEL)
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+    )
+
+
 def op10_ngram_jaccard_join(spark, folder):
     return jaccard.join(table(spark, folder, "documents"))
 
@@ -72,6 +85,7 @@ QUERIES = {
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_secret_scans": op7_secret_scans,
     "op8_token_counts": op8_token_counts,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from webtext.llm import ann, jaccard, langid, neardup, packing, pieces, secretscan, tokencount, toxicity
+from webtext.llm import ann, idfile, jaccard, langid, neardup, packing, pieces, secretscan, tokencount, toxicity
 from webtext.llm.rows import table
-from webtext.session import materialise
+from webtext.session import fresh_dir, materialise
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,6 +33,12 @@ def op3_approximate_nearest_neighbours(spark, folder):
     return ann.MultiIndex().search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op4_token_id_output(spark, folder):
+    path = fresh_dir(spark, "token-ids")
+    idfile.write(table(spark, folder, "documents"), path, BYTE_VOCABULARY, end_id=0)
+    return idfile.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op5_language_id(spark, folder):
     docs = table(spark, folder, "documents")
     held_out = toxicity.remainder("doc_id", 4) == 2
@@ -81,6 +87,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
     "op3_approximate_nearest_neighbours": op3_approximate_nearest_neighbours,
+    "op4_token_id_output": op4_token_id_output,
     "op5_language_id": op5_language_id,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_secret_scans": op7_secret_scans,

@@ -146,12 +146,11 @@ def test_trained_vectors_cover_the_vocabulary(documents):
     assert means.count() == documents.count()
 
 
-def test_training_size_is_checked(spark, monkeypatch):
-    from webtext.operators import embedding
-
-    monkeypatch.setattr(embedding, "TRAINING_BYTES", 10)
-    with pytest.raises(ValueError, match="too many"):
-        WordVectors.train(spark.createDataFrame([(["a", "b"],)], "t array<string>"), "t")
+def test_naive_bayes_takes_many_classes(spark):
+    df = spark.createDataFrame([(i, f"word{i} common", i) for i in range(120)], "id int, text string, label int")
+    model = classify.NaiveBayesModel.fit(df, "id", "text", "label")
+    got = model.predict(df.filter("id IN (0, 77, 119)"), "id", "text").collect()
+    assert len(model.classes) == 120 and all(r["prediction"] == r["id"] for r in got)
 
 
 def test_naive_bayes_against_plain_python(documents, spark, data, join_mode):

@@ -54,11 +54,31 @@ def test_shared_folder_comes_from_the_session(spark, monkeypatch):
     assert df.count() == 5 and "Scan parquet" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_inputs_are_spread_and_large_ones_left_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert session.spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == cores
-    many = spark.range(100).repartition(cores + 3)
-    assert session.spread(many) is many
+def test_scans_of_one_split_are_spread_and_larger_ones_left_alone(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert "RoundRobin" in session.spread(df, path)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert session.spread(df, path) is df
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [session._bytes(x) for x in ("134217728b", "16m", "1G", "64kb", "12")] == [1 << 27, 1 << 24, 1 << 30, 1 << 16, 12]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    def on(master, folder=None):
+        settings = SimpleNamespace(get=lambda name, default=None: default)
+        context = SimpleNamespace(master=master, applicationId="app-1", getConf=lambda: settings, getCheckpointDir=lambda: folder)
+        return SimpleNamespace(conf=settings, sparkContext=context)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(on("spark://host:7077"))
+    assert session.shared_dir(on("yarn", "hdfs://x/ck/")) == "hdfs://x/ck"
+    assert session.shared_dir(on("local[4]"))
 
 
 def test_crawl_from_listing_to_articles(spark, tmp_path):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,15 +40,27 @@ MARKUP = r"(?s)<!--.*?-->|</?[A-Za-z][^>\x00]*>"
 # HTML text holds no NUL, so it can stand for a paragraph start.
 PARAGRAPH_MARK = "\0"
 
-ANCHOR_HREF = r'(?i)<a\s+href="([^"]*)"'
+# The attributes of each start tag of ``a``; quoted values may hold ``>``.
+ANCHOR = r"""(?i)<a(?=[\s/>])((?:[^>"']|"[^"]*"|'[^']*')*+)>"""
+# The value of the first ``href`` among them, in double, single or no quotes.
+HREF = r"""(?i)^(?:[\s/]+|(?!href\s*=)[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*+href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
 ORIGIN = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+"
-NUMERIC_REFERENCE = r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
+NUMERIC_REFERENCE = r"&#(?:[0-9]+|[xX][0-9A-Fa-f]+);"
+NAME_REFERENCE = r"&[A-Za-z][A-Za-z0-9]*;"
+# All other names with a semicolon, from the standard library's copy of the HTML table.
+OTHER_REFERENCES = {
+    f"&{name}": text
+    for name, text in html5.items()
+    if name.endswith(";") and name[:-1] not in NAMED_REFERENCES and text != "&"
+}
 
 
 def _numeric_reference(reference: Column) -> Column:
-    body = F.regexp_replace(reference, r"^&#|;$", "")
-    hexadecimal = F.lower(F.substring(body, 1, 1)) == "x"
-    point = F.when(hexadecimal, F.conv(F.substring(body, 2, 8), 16, 10)).otherwise(body).cast("long")
+    hexadecimal = F.lower(F.substring(reference, 3, 1)) == "x"
+    digits = F.regexp_replace(reference, r"^&#[xX]?0*|;$", "")
+    # Longer numbers lie beyond the last code point.
+    short = F.when(F.length(digits) > 7, "9999999").when(digits == "", "0").otherwise(digits)
+    point = F.when(hexadecimal, F.conv(short, 16, 10)).otherwise(short).cast("long")
     character = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
     unusable = (point == 0) | (point > 0x10FFFF) | point.between(0xD800, 0xDFFF)
     # An ampersand stays escaped here, so that what follows it is not decoded a second time.
@@ -72,10 +87,21 @@ def unescape(text: Column, attribute: bool = False) -> Column:
             lambda acc, reference: F.replace(acc, reference, _numeric_reference(reference)),
         ),
     ).otherwise(text)
+    if OTHER_REFERENCES:
+        names = F.from_json(F.lit(json.dumps(OTHER_REFERENCES)), "map<string,string>")
+        decoded = F.when(
+            F.contains(text, F.lit(";")),
+            F.aggregate(
+                F.array_distinct(F.regexp_extract_all(text, F.lit(NAME_REFERENCE), F.lit(0))),
+                decoded,
+                lambda acc, reference: F.replace(acc, reference, F.coalesce(F.try_element_at(names, reference), reference)),
+            ),
+        ).otherwise(decoded)
     for name, character in NAMED_REFERENCES.items():
         decoded = F.replace(decoded, F.lit(f"&{name};"), F.lit(character))
         if name in BARE_REFERENCES and not attribute:
             decoded = F.replace(decoded, F.lit(f"&{name}"), F.lit(character))
+    decoded = F.replace(decoded, F.lit("&AMP;"), F.lit("&amp;"))
     decoded = F.regexp_replace(decoded, "&amp;" if attribute else "&amp;?", "&")
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
@@ -121,8 +147,10 @@ def join_paragraphs(marked_text: Column) -> Column:
 
 
 def hrefs(markup: Column) -> Column:
-    """Targets of ``<a href="...">`` in page order."""
-    return F.transform(F.regexp_extract_all(markup, F.lit(ANCHOR_HREF), F.lit(1)), lambda href: unescape(href, attribute=True))
+    """Targets of anchors in page order; an anchor without ``href`` has none."""
+    tags = F.filter(F.regexp_extract_all(markup, F.lit(ANCHOR), F.lit(1)), lambda tag: tag.rlike(HREF))
+    targets = F.transform(tags, lambda tag: F.concat(*[F.regexp_extract(tag, HREF, i) for i in (1, 2, 3)]))
+    return F.transform(targets, lambda href: unescape(href, attribute=True))
 
 
 def origin(url: Column) -> Column:

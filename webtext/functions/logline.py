@@ -17,7 +17,7 @@ SINKS = {
 FIELD_BAR = r"\s*\| "
 DATE_HEAD = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{3} \| "
 LEVEL_NAME = r"^\w+$"
-CALLER = r"^(.*?):(\d{1,9})$"
+CALLER = r"^(.*?):(\d+)$"
 
 
 def format_line(ts: Column, level: Column, thread: Column, cls: Column, line: Column, msg: Column) -> Column:

@@ -14,9 +14,6 @@ from webtext.operators.lookup import lookup, token_counts
 from webtext.operators.tfidf import terms
 from webtext.session import materialise
 
-MAX_CLASSES = 100
-
-
 @dataclass(frozen=True)
 class NaiveBayesModel:
     """One row per known term with a log likelihood per class, and the classes' log priors."""
@@ -33,9 +30,7 @@ class NaiveBayesModel:
         one aggregation over terms, with partial sums before the shuffle.
         """
         labelled = df.filter(F.col(label).isNotNull())
-        sizes = labelled.groupBy(label).count().orderBy(label).limit(MAX_CLASSES + 1).collect()
-        if len(sizes) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes")
+        sizes = labelled.groupBy(label).count().orderBy(label).collect()
         classes = [row[label] for row in sizes]
         rows = sum(row["count"] for row in sizes)
         log_priors = [log(row["count"] / rows) for row in sizes]

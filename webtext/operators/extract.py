@@ -55,8 +55,8 @@ class TreeProfile:
     """
 
     # Selectors and positions of the news site's layout.
-    date_time: tuple = (".article__announce-date",)
-    author: tuple = ("div.article__announce-authors", "a.author", 0)
+    date_time: tuple | None = (".article__announce-date",)
+    author: tuple | None = ("div.article__announce-authors", "a.author", 0)
     content: tuple = (".content", "main", "section", 1, 8)
     part: str | None = None
     card: str = ".card__inner"
@@ -64,7 +64,7 @@ class TreeProfile:
 
 
 PLAIN_PAGES = PatternProfile()
-PLAIN_PAGES_TREE = TreeProfile(content=("article",), part="p", card="li", card_title="a")
+PLAIN_PAGES_TREE = TreeProfile(date_time=None, author=None, content=("article",), part="p", card="li", card_title="a")
 NEWS_SITE = TreeProfile()
 
 
@@ -101,7 +101,7 @@ def _tree_fields(profile: TreeProfile):
     parse_html, locate, select = dom.parse_html, dom.locate, dom.select
 
     def text_at(root, path):
-        element = locate(root, path)
+        element = None if path is None else locate(root, path)
         return None if element is None else element.text()
 
     def parse(markup):
@@ -146,7 +146,7 @@ def articles(
 ) -> DataFrame:
     """Pages ``(url, html)`` to article records.
 
-    A field that is not there is NULL and named in ``errors``; a page that was not fetched
+    A field that the profile defines and that is not there is NULL and named in ``errors``; a page that was not fetched
     (NULL ``html``) has the error ``html``. ``on_error='drop'`` keeps whole records only.
     ``keys`` are page columns to carry along. One narrow stage, no shuffle.
     """
@@ -168,9 +168,8 @@ def articles(
             *[F.col(f"_page.{name}").alias(name) for name in ("title", "dateTime", "author", "content")],
         )
 
-    missing = [
-        F.when(F.col(name).isNull(), F.lit(name)) for name in ("title", "dateTime", "author", "content")
-    ]
+    asked = {"title": True, "dateTime": profile.date_time, "author": profile.author, "content": profile.content}
+    missing = [F.when(F.col(name).isNull(), F.lit(name)) for name, wanted in asked.items() if wanted]
     errors = F.when(~F.col("_fetched"), F.array(F.lit("html"))).otherwise(
         F.concat(F.col("_errors"), F.array_compact(F.array(*missing)))
     )

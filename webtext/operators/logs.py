@@ -43,7 +43,7 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
         F.when(fits, F.col("_level")).alias("level"),
         F.when(fits, F.col("_thread")).alias("thread"),
         F.when(fits, F.rtrim(F.regexp_extract("_caller", logline.CALLER, 1))).alias("cls"),
-        F.when(fits, F.regexp_extract("_caller", logline.CALLER, 2)).cast("int").alias("line"),
+        F.when(fits, F.regexp_extract("_caller", logline.CALLER, 2)).try_cast("int").alias("line"),
         F.when(fits, F.col("_msg")).alias("msg"),
     )
 
@@ -63,8 +63,12 @@ def with_day(lines: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def write_routed(lines: DataFrame, path: str, ts: str = "ts") -> None:
-    """Append routed lines, one folder per sink and day."""
-    with_day(lines, ts).write.mode("append").partitionBy("sink", "day").parquet(path)
+    """Append routed lines, one folder per sink and day.
+
+    Lines of a sink and day meet in a few tasks (by minute of the hour, modulo 8), so a day has a few files.
+    """
+    dealt = with_day(lines, ts).repartition("sink", "day", F.pmod(F.minute(ts), F.lit(8)))
+    dealt.write.mode("append").partitionBy("sink", "day").parquet(path)
 
 
 def daily_counts(routed: DataFrame, ts: str = "ts") -> DataFrame:

@@ -88,8 +88,8 @@ def mean_embedding_zero(spark, folder):
 
 
 def _trained(spark, folder) -> WordVectors:
-    train, _ = _split(spark, folder)
-    return WordVectors.train(train.select(clean.clean_words(F.col("clean_text")).alias("tokens")), "tokens")
+    """On all documents, as a vocabulary has to know every text."""
+    return WordVectors.train(_tokens(spark, folder), "tokens")
 
 
 def word2vec_vectors(spark, folder):
@@ -214,8 +214,8 @@ SELECT doc_id, dim, round(coalesce(value, 0), 5) + 0.0 AS value FROM grid LEFT J
     "mean_embedding_zero": f"""WITH {_means_sql(20)}
 SELECT doc_id, count(*)::int AS dims, bool_and(coalesce(value, 0) = 0) AS all_zero
 FROM grid LEFT JOIN means USING (doc_id, dim) GROUP BY doc_id""",
-    "word2vec_vocab": f"""WITH {sql.SPLIT}
-SELECT DISTINCT word, 100 AS dims FROM (SELECT unnest({sql.words('clean_text')}) AS word FROM split WHERE NOT in_test)""",
+    "word2vec_vocab": f"""
+SELECT DISTINCT word, 100 AS dims FROM (SELECT unnest({sql.words(_CLEAN)}) AS word FROM documents)""",
     "nb_predictions": f"""WITH {_TRAIN_TERMS},
 training AS (SELECT doc_id, toxic FROM split JOIN labels USING (doc_id) WHERE NOT in_test),
 prior AS (SELECT toxic, ln(count(*) / (SELECT count(*) FROM training)) AS lp FROM training GROUP BY toxic),

@@ -135,7 +135,7 @@ _ARTICLES = f"articles AS (SELECT page_id, url, {_TITLE} AS title, {_BODY} AS co
 
 ARTICLES_SQL = f"""WITH {_ARTICLES}
 SELECT page_id, title, url, NULL::varchar AS author, NULL::varchar AS "dateTime", content,
-  'dateTime,author' AS errors FROM articles"""
+  '' AS errors FROM articles"""
 
 LINKS_SQL = rf"""
 SELECT page_id, url, pos::int AS pos, href, regexp_extract(url, '^[a-z]+://[^/?#]+') || href AS link FROM (

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own_dirs: dict[str, str] = {}
 
@@ -36,14 +37,19 @@ def build_session(app: str = "webtext", cpus: str | int = "*", **conf: str) -> S
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where the cluster names none (tests, a laptop), one temporary folder per
-    application takes its place.
+    Where a local master names none (tests, a laptop), one temporary folder per application takes
+    its place. On a cluster a machine's own folder would lose data, so a missing name is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if named:
         return named.rstrip("/")
+    named = named or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="webtext-")
@@ -66,12 +72,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small file scan one partition per core before CPU-heavy column work.
+def spread(df: DataFrame, path: str) -> DataFrame:
+    """Give a file scan of one split one partition per core before CPU-heavy column work.
 
-    Fewer partitions than cores means the files are few and small (a partition of a splittable
-    file has a bounded size), so the shuffle is small too. A large scan is returned as it is. Only
-    for scans: asking a plan with shuffles for its partitions would run them.
+    Only a scan whose files, all in all, are within ``spark.sql.files.maxPartitionBytes`` is dealt
+    out: that much is small, however many cores there are. Any larger scan is returned as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    spark = df.sparkSession
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    held = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).agg(F.sum("length")).first()[0]
+    return df.repartition(spark.sparkContext.defaultParallelism) if (held or 0) <= _bytes(limit) else df
+
+
+def _bytes(size: str) -> int:
+    """A size as Spark writes it: ``134217728b``, ``16m``, ``1g`` or a plain number."""
+    units = {"b": 0, "k": 10, "m": 20, "g": 30, "t": 40}
+    text = size.strip().lower().removesuffix("b") or "0"
+    return int(text[:-1]) << units[text[-1]] if text[-1] in units else int(text)

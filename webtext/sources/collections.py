@@ -19,7 +19,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table for CPU-heavy work: a small one is spread over the cores."""
-    return spread(table(spark, folder, name))
+    return spread(table(spark, folder, name), f"{folder}/{name}.parquet")
 
 
 def fetched_pages(pages: DataFrame) -> DataFrame:

@@ -69,7 +69,7 @@ def unpack_frames(datas: list[bytes]) -> list[tuple[list[int | None], np.ndarray
     for data in datas:
         magic, docs, blocks, vocabulary = _HEAD.unpack_from(data)
         at = _HEAD.size + 17 * docs + 12 * blocks
-        if magic != b"CMR1" or zlib.crc32(data[:at]) != struct.unpack_from("<I", data, at)[0]:
+        if magic != b"CMR1" or len(data) < at + 4 or zlib.crc32(data[:at]) != struct.unpack_from("<I", data, at)[0]:
             raise ValueError("not a frame, or its header is damaged")
         keys = np.frombuffer(data, "<i8", docs, _HEAD.size)
         null = np.frombuffer(data, np.uint8, docs, _HEAD.size + 8 * docs)

@@ -194,6 +194,15 @@ def steps(model: Model, codes: np.ndarray, sizes: np.ndarray, keys: np.ndarray,
     return word[order], start[order], ids[order]
 
 
+_loaded: dict[str, Model] = {}
+
+
+def _model(file: str) -> Model:
+    if file not in _loaded:
+        _loaded[file] = Model(file)
+    return _loaded[file]
+
+
 class Pieces(WordStore):
     """Encodes texts; words are known by variant and text."""
 
@@ -201,7 +210,7 @@ class Pieces(WordStore):
         if not 0 <= dropout < 1:
             raise ValueError("dropout must lie in [0, 1)")
         super().__init__()
-        self.model = Model(file)
+        self.model = _model(file)
         self.limit = int(dropout * 2.0**64)
         self.seed = seed
         self.by_point: dict[int, int] = {ord(piece): i for piece, i in self.model.single.items()}
@@ -260,13 +269,13 @@ class Pieces(WordStore):
         return ids, ends[at[1:]] - ends[at[:-1]]
 
 
-_models: dict[tuple, Pieces] = {}
+_encoders: dict[tuple, Pieces] = {}
 
 
 def _encoder(file: str, dropout: float, seed: int) -> Pieces:
-    if (file, dropout, seed) not in _models:
-        _models[(file, dropout, seed)] = Pieces(file, dropout, seed)
-    return _models[(file, dropout, seed)]
+    if (file, dropout, seed) not in _encoders:
+        _encoders[(file, dropout, seed)] = Pieces(file, dropout, seed)
+    return _encoders[(file, dropout, seed)]
 
 
 def encode(docs: DataFrame, file: str, dropout: float = 0.1, seed: int = 1, variants: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -287,7 +296,7 @@ def decode(encoded: DataFrame, file: str) -> DataFrame:
     """``(doc_id, ids, text)``: the text of each row's ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _encoder(file, 0.0, 0).model
+        model = _model(file)
         for part in slices(batches, "ids", 4_000_000):
             rows = part.column("ids").to_pylist()
             counts = np.array([len(row) // 4 for row in rows], np.int64)

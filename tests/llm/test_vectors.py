@@ -1,0 +1,128 @@
+from __future__ import annotations
+
+import itertools
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from webtext.llm import ann, neardup
+from webtext.llm.graph import components
+from webtext.llm.queries import QUERIES
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, cell int, node string, rank int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, label, 0, "x", 1) for i, v, label in rows], SCHEMA)
+
+
+def load(spark, data):
+    rows = spark.read.parquet(f"{data}/embeddings.parquet").orderBy("vec_id").collect()
+    return np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float), np.array([r.label for r in rows])
+
+
+ODD = [
+    (1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [2.0, 0.01], 1), (4, [1.0, 0.0], None), (5, None, 1),
+    (6, [0.0, 0.0], 1), (7, [1.0, None], 1), (8, [float("nan"), 1.0], 1), (9, [float("inf"), 1.0], 1), (10, [1.0, 0.0, 0.0], 1),
+    (11, [-1.0, 0.0], 1), (12, [1.0, 0.0], 2), (13, [0.0, 1.0], 1), (None, [1.0, 0.0], 3), (14, [], 1),
+]
+
+
+def test_components_of_chains_and_cycles(spark):
+    pairs = [(i, i + 1) for i in range(40, 60)] + [(3, 1), (2, 3), (1, 2), (9, 9), (70, 69)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
+    assert got == {**{i: 40 for i in range(40, 61)}, 1: 1, 2: 1, 3: 1, 69: 69, 70: 69}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def brute_links(ids, vectors, labels):
+    norms = np.linalg.norm(vectors, axis=1)
+    near = (vectors @ vectors.T / np.outer(norms, norms) >= 0.98) & (labels[:, None] == labels[None, :])
+    np.fill_diagonal(near, False)
+    component = ids.copy()
+    for _ in ids:
+        component = np.minimum(component, np.where(near, component[None, :], ids.max()).min(axis=1))
+    return {int(i): (int(n), int(c)) for i, n, c in zip(ids, near.sum(axis=1), component)}
+
+
+def test_near_duplicates_of_groups(spark):
+    draw = np.random.default_rng(8)
+    centers = draw.standard_normal((6, 32))
+    vectors = np.concatenate([c + 0.05 * draw.standard_normal((40, 32)) for c in centers] + [draw.standard_normal((60, 32))]).astype(np.float32)
+    labels = draw.integers(0, 2, len(vectors))
+    ids = draw.permutation(1000)[: len(vectors)]
+    df = table(spark, [(int(i), v.tolist(), int(k)) for i, v, k in zip(ids, vectors, labels)])
+    want = brute_links(ids, vectors.astype(float), labels)
+    for how in (neardup.Hashing(), neardup.Hashing(chunk=7)):
+        got = {r.vec_id: (r.n_links, r.component_id) for r in neardup.near_duplicates(df, how=how).collect()}
+        assert set(got) == set(want) and all(got[i][0] <= want[i][0] for i in want)
+        assert sum(got[i] == want[i] for i in want) >= 0.99 * len(want)
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    rows = neardup.near_duplicates(table(spark, ODD)).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.vec_id, []).append((r.n_links, r.component_id, r.kept))
+    assert len(rows) == len(ODD) and got[1] == [(3, 1, True)] and got[2] == [(3, 1, False)] * 2 and got[3] == [(3, 1, False)]
+    for alone in (4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14):
+        assert got[alone] == [(0, alone, True)]
+    assert got[None] == [(0, None, True)]
+    assert neardup.near_duplicates(table(spark, [])).count() == 0
+
+
+def test_op6(spark, data):
+    got = {r.vec_id: (r.n_links, r.component_id) for r in QUERIES["op6_embedding_near_dedup"](spark, data).collect()}
+    assert got == brute_links(*load(spark, data))
+
+
+def test_traverse_takes_all_pairs_in_order():
+    draw = np.random.default_rng(2)
+    first, second = draw.standard_normal(7), draw.standard_normal(5)
+    counts = draw.integers(0, 3, 35)
+    sums = (first[:, None] + second[None, :]).ravel()
+    order = [c for c in np.argsort(-sums, kind="stable") if counts[c]]
+    assert ann.traverse(first, second, counts, 10**9).tolist() == order
+    taken = ann.traverse(first, second, counts, 6)
+    assert taken.tolist() == order[: len(taken)] and counts[taken].sum() >= 6 > counts[taken[:-1]].sum()
+
+
+def brute_nearest(ids, vectors, queries, k):
+    scores = vectors[queries] @ vectors.T
+    found = {}
+    for row, q in zip(scores, queries):
+        order = [j for j in np.lexsort((ids, -row)) if ids[j] != ids[q]][:k]
+        found[int(ids[q])] = [int(ids[j]) for j in order]
+    return found
+
+
+@pytest.mark.parametrize("share", [1.0, 0.6])
+def test_search_against_brute_force(spark, data, share):
+    ids, vectors, _ = load(spark, data)
+    index = ann.MultiIndex(centroids=8, share=share, least=1, group=60, block=16)
+    df = spark.read.parquet(f"{data}/embeddings.parquet")
+    rows = index.search(df, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect()
+    want = brute_nearest(ids, vectors, np.flatnonzero(ids % 20 == 0), 20)
+    got = {q: [r.vec_id for r in own] for q, own in itertools.groupby(rows, lambda r: r.query_id)}
+    assert [r.rank for r in rows] == list(range(1, 21)) * len(want)
+    if share == 1.0:
+        assert got == want
+    assert sum(len(set(got[q]) & set(want[q])) for q in want) / (20 * len(want)) >= 0.9
+    place = {int(i): v for i, v in zip(ids, vectors)}
+    assert all(r.score == pytest.approx(place[r.query_id] @ place[r.vec_id], abs=1e-12) for r in rows)
+
+
+def test_search_of_odd_rows(spark):
+    rows = ann.MultiIndex(centroids=2).search(table(spark, ODD), F.col("vec_id").isin(1, 5, 6), 20).orderBy("rank").collect()
+    assert [(r.query_id, r.vec_id) for r in rows] == [(1, 3), (1, 2), (1, 2), (1, 4), (1, 12), (1, 13), (1, 11)]
+    assert ann.MultiIndex().search(table(spark, []), F.col("vec_id") == 1, 20).count() == 0
+    assert ann.MultiIndex().search(table(spark, ODD[:1]), F.col("vec_id") == 1, 20).count() == 0
+
+
+def test_hot_cells_are_cut():
+    counts = np.array([5, 0, 100, 3, 4, 30])
+    first, parts = ann.MultiIndex(group=10)._groups(counts)
+    assert parts.tolist() == [1, 1, 10, 1, 1, 3]
+    used = [range(first[c], first[c] + parts[c]) for c in np.flatnonzero(counts)]
+    assert not set(used[1]) & set(used[0]) and not set(used[1]) & set(used[2]) and not set(used[4]) & set(used[3])

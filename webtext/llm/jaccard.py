@@ -11,10 +11,11 @@ So each document gives d + 1 keys per size band, and documents that share a key
 
 The order puts segments of very frequent shingles last, so a passage that many documents share
 makes no keys where a document has enough of its own. Equal sets are one node. Documents of a key
-are first compared with the smallest and the largest node of the key only; what that links is put
-into components, and only nodes of one key in different components are then compared pair by pair.
-That loses no link between components: every pair that shares a key is either in one component
-already or compared exactly, by the full sets.
+are first compared with the most central node of the key only, and what that links is put into
+components. Then nodes of one key in different components are compared by narrow sketches within
+tasks; each node's nearest is verified by the full sets, components grow, and last every pair left
+that shares a key, lies in different components and has near enough sketches is verified. So no
+link between components is lost, and groups of many copies do not give all their pairs.
 
 Defined results: null text, empty text and text without words have no shingle and link with
 nothing; equal rows are equal sets; an empty table gives no rows.
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 from webtext.llm.graph import components
 from webtext.llm.rows import binary_column, slices, texts_of
+from webtext.llm.vectors import sorted_groups
 from webtext.llm.words import Hashed, mix
 from webtext.operators.lookup import fits_broadcast
 from webtext.session import materialise
@@ -40,6 +42,8 @@ WIDTH = 5
 SIMILARITY = Fraction(4, 5)
 #: A shingle this frequent within one task is counted for the order of segments; the most frequent are put last.
 LOCAL, MANY, LISTED = 4, 24, 1_000_000
+#: Groups of a key up to this size give their pairs by a join; larger ones are compared in chunks of so many nodes.
+SMALL, CHUNK = 8, 256
 _BUFFER = 4_000_000
 
 _FACTORS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
@@ -79,6 +83,20 @@ def fingerprint(found: np.ndarray) -> int:
     return int(value.astype(np.int64)[0])
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """The parity of the shingles of each bit; two bits a shingle, rounded up to a power of 2."""
+    bits = 1 << max(6, (2 * len(found) - 1).bit_length())
+    return np.packbits(np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def distance(a: bytes, b: bytes) -> int:
+    """Different bits of two sketches; the wider one is folded to the width of the other, which keeps it a parity sketch."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    return int(np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0) ^ y).sum())
+
+
 def most_different(a: int, b: int, similarity: Fraction = SIMILARITY) -> int:
     """How many elements may be in only one of two sets of these sizes."""
     return (a + b) * (similarity.denominator - similarity.numerator) // (similarity.denominator + similarity.numerator)
@@ -120,15 +138,22 @@ class Join:
     def __init__(self, docs: DataFrame, key: str = "doc_id", text: str = "text"):
         self.spark = docs.sparkSession
         self.docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-        read = materialise(self.docs.mapInArrow(_survey, "doc_id bigint, n bigint, node bigint, frequent bigint"), "jaccard-survey")
+        read = materialise(self.docs.mapInArrow(_survey, "doc_id bigint, n bigint, node bigint, sketch binary, frequent bigint"), "jaccard-survey")
         self.rows = read.filter("frequent IS NULL").select("doc_id", "n", "node")
         self.frequent = read.filter("frequent IS NOT NULL").groupBy("frequent").agg(F.sum("n").alias("n")).filter(F.col("n") >= MANY)
         self.nodes = materialise(
-            self.rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.count("*").alias("copies")), "jaccard-nodes"
+            read.filter("n > 0 AND frequent IS NULL")
+            .groupBy("node")
+            .agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.max("sketch").alias("sketch")),
+            "jaccard-nodes",
         )
 
     def members(self) -> DataFrame:
-        """``(key, node, low, high)`` of the keys that at least two nodes share."""
+        """``(key, node, size, leader)`` of the keys that at least two nodes share.
+
+        The leader is the node of the key whose keys have the most nodes in all: of a text and its edited
+        copies that is the text, as an edit takes a copy out of the groups of the keys it touches.
+        """
         rows = self.frequent.orderBy(F.desc("n"), "frequent").limit(LISTED).select("frequent").toPandas()
         listed = self.spark.sparkContext.broadcast(np.sort(rows["frequent"].to_numpy(np.int64).view(np.uint64)))
 
@@ -157,15 +182,21 @@ class Join:
 
         rows = self.docs.mapInArrow(emit, "key bigint, node bigint")
         same = Window.partitionBy("key")
-        marked = rows.select("key", "node", F.min("node").over(same).alias("low"), F.max("node").over(same).alias("high"))
-        return materialise(marked.filter("low < high"), "jaccard-members")
+        marked = rows.select(
+            "key", "node", F.min("node").over(same).alias("low"), F.max("node").over(same).alias("high"), F.count("*").over(same).alias("size")
+        )
+        shared = materialise(marked.filter("low < high").select("key", "node", "size"), "jaccard-shared")
+        central = materialise(shared.groupBy("node").agg(F.sum("size").alias("central")), "jaccard-central")
+        best = F.max(F.struct("central", "node")).over(same)["node"].alias("leader")
+        return materialise(shared.join(central, "node").select("key", "node", "size", best), "jaccard-members")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """``(a, b, linked)`` of candidate pairs of nodes, by their whole sets."""
-        sizes = self.nodes.select("node", "n")
-        sized = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+        """``(a, b, linked)`` of candidate pairs of nodes that sizes and sketches leave, by their whole sets."""
+        known = self.nodes.select("node", "n", "sketch")
+        sized = pairs.join(known.toDF("a", "na", "sa"), "a").join(known.toDF("b", "nb", "sb"), "b")
         over, under = SIMILARITY.denominator, SIMILARITY.numerator
-        pairs = materialise(sized.filter(F.least("na", "nb") * over >= F.greatest("na", "nb") * under).select("a", "b"), "jaccard-pairs")
+        sized = sized.filter(F.least("na", "nb") * over >= F.greatest("na", "nb") * under)
+        pairs = materialise(sized.mapInArrow(_near, "a bigint, b bigint"), "jaccard-pairs")
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = materialise(wanted.join(self.nodes.select("node", "doc_id"), "node"), "jaccard-wanted")
         wanted = F.broadcast(wanted) if fits_broadcast(wanted, 32 << 20) else wanted
@@ -177,20 +208,51 @@ class Join:
     def groups(self) -> DataFrame:
         """``(node, component)`` of nodes with a link."""
         members = self.members()
-        stars = members.select(F.col("low").alias("a"), F.col("node").alias("b")).union(members.select(F.col("node").alias("a"), F.col("high").alias("b")))
-        checked = self.verified(stars.filter("a < b").distinct())
-        links = checked.filter("linked").select("a", "b")
-        grouped = components(links)
-        placed = members.join(grouped, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        stars = members.filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+        checked = self.verified(stars.distinct())
+        grouped = components(checked.filter("linked").select("a", "b"))
+        for nearest in (True, False):
+            pairs = self.apart(members, grouped, nearest)
+            more = self.verified(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"))
+            checked = materialise(checked.union(more), "jaccard-checked")
+            if not more.filter("linked").isEmpty():
+                grouped = components(checked.filter("linked").select("a", "b"))
+        return grouped
+
+    def apart(self, members: DataFrame, grouped: DataFrame, nearest: bool) -> DataFrame:
+        """Pairs ``(a, b)`` of nodes that share a key, lie in different components and may be similar by their sketches.
+
+        With ``nearest`` only the best partner of each node in the large groups of a key; else all pairs.
+        A small group gives its few pairs by a join. A large one is compared by sketches within tasks, in
+        pairs of chunks, and only pairs whose sketches are near enough leave the task.
+        """
         same = Window.partitionBy("key")
-        apart = placed.withColumn("_low", F.min("component").over(same)).withColumn("_high", F.max("component").over(same))
-        apart = materialise(apart.filter("_low < _high").select("key", "node", "component").distinct(), "jaccard-apart")
-        left, right = apart.toDF("key", "a", "_ca"), apart.toDF("key", "b", "_cb")
-        pairs = left.join(right, "key").filter("a < b AND _ca <> _cb").select("a", "b").distinct()
-        more = self.verified(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")).filter("linked").select("a", "b")
-        if more.isEmpty():
-            return grouped
-        return components(links.union(more))
+        placed = members.join(grouped, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        placed = placed.distinct().select(
+            "*", F.min("component").over(same).alias("_low"), F.max("component").over(same).alias("_high"), F.count("*").over(same).alias("size")
+        )
+        placed = materialise(placed.filter("_low < _high").select("key", "node", "component", "size"), "jaccard-apart")
+        large = placed.filter(F.col("size") > SMALL).withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
+        large = large.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+        large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        large = large.join(self.nodes.select("node", "n", "sketch"), "node").select(
+            "key", "node", "component", "n", "sketch", "chunk", F.least("chunk", "other").alias("first"), F.greatest("chunk", "other").alias("second")
+        )
+        parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 8)
+        dealt = large.repartition(parts, "key", "first", "second").sortWithinPartitions("key", "first", "second")
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for group in sorted_groups(batches, "key", "first", "second"):
+                a, b = _within(group, nearest)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        pairs = dealt.mapInArrow(compare, "a bigint, b bigint")
+        if not nearest:
+            small = placed.filter(F.col("size") <= SMALL).select("key", "node", "component")
+            left, right = small.toDF("key", "a", "_ca"), small.toDF("key", "b", "_cb")
+            pairs = pairs.union(left.join(right, "key").filter("a < b AND _ca <> _cb").select("a", "b"))
+        return pairs.distinct()
 
     def result(self) -> DataFrame:
         """``(doc_id, n_shingles, component_id)``: one row per document, the component by its smallest doc_id."""
@@ -207,7 +269,7 @@ class Join:
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(doc_id, n, node, null)`` of documents, ``(null, n, null, shingle)`` of shingles frequent within the task."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("frequent", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("sketch", pa.binary()), ("frequent", pa.int64())])
     buffer: list[np.ndarray] = []
     done: set[int] = set()
     held = 0
@@ -217,7 +279,8 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = counts >= LOCAL
         n = int(keep.sum())
         return pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()), pa.array(counts[keep].astype(np.int64)), pa.nulls(n, pa.int64()), pa.array(values[keep].view(np.int64))], schema=schema
+            [pa.nulls(n, pa.int64()), pa.array(counts[keep].astype(np.int64)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(values[keep].view(np.int64))],
+            schema=schema,
         )
 
     for part in slices(batches, "text"):
@@ -229,7 +292,14 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 buffer.append(found)
                 held += len(found)
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(len(sets), pa.int64())], schema=schema
+            [
+                part.column("doc_id"),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(nodes, pa.int64()),
+                pa.array([sketch(s) for s in sets], pa.binary()),
+                pa.nulls(len(sets), pa.int64()),
+            ],
+            schema=schema,
         )
         if held >= _BUFFER:
             yield frequent()
@@ -245,6 +315,41 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column("node"), binary_column(flat, np.array([len(s) for s in sets]))], names=["node", "found"])
 
 
+def _within(group: pa.Table, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a group's nodes in different components whose sketches allow a link."""
+    node, component, n, chunk = (group.column(name).to_numpy() for name in ("node", "component", "n", "chunk"))
+    raw = [np.frombuffer(x, np.uint64) for x in group.column("sketch").to_pylist()]
+    width = min(map(len, raw))
+    bits = np.stack([np.bitwise_xor.reduce(x.reshape(-1, width), axis=0) for x in raw])
+    across = group.column("first")[0].as_py() != group.column("second")[0].as_py()
+    least, most = SIMILARITY.denominator - SIMILARITY.numerator, SIMILARITY.denominator + SIMILARITY.numerator
+    left, right = [], []
+    for i in range(len(node)):
+        open_ = component != component[i]
+        if across:
+            open_ &= chunk != chunk[i]
+        if not nearest:
+            open_ &= node > node[i]
+        at = np.flatnonzero(open_)
+        if not len(at):
+            continue
+        different = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        fits = different <= (n[at] + n[i]) * least // most
+        if not fits.any():
+            continue
+        at = at[[np.where(fits, different, 1 << 40).argmin()]] if nearest else at[fits]
+        left.append(np.minimum(node[i], node[at]))
+        right.append(np.maximum(node[i], node[at]))
+    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(*(batch.column(name).to_pylist() for name in ("na", "nb", "sa", "sb")))
+        keep = [distance(sa, sb) <= most_different(na, nb) for na, nb, sa, sb in rows]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         linked = []

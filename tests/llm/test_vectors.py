@@ -97,7 +97,7 @@ def brute_nearest(ids, vectors, queries, k):
     return found
 
 
-@pytest.mark.parametrize("share", [1.0, 0.6])
+@pytest.mark.parametrize("share", [1.0, 0.75])
 def test_search_against_brute_force(spark, data, share):
     ids, vectors, _ = load(spark, data)
     index = ann.MultiIndex(centroids=8, share=share, least=1, group=60, block=16)

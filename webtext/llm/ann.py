@@ -15,7 +15,7 @@ task, and nothing but centroids and cell counts (both bounded by the codebook) i
 cells all over the index, and recall follows the share of rows looked at.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, or are not as
-long as most, take no part, neither as query nor as candidate; a row is never its own neighbour, nor
+long as most, and rows without an id, take no part, neither as query nor as candidate; a row is never its own neighbour, nor
 is one with the same id; ties go to the smaller id; fewer candidates than ``k`` are all returned; an
 empty table gives no rows.
 """
@@ -87,7 +87,7 @@ class MultiIndex:
         """``(query_id, rank, vec_id, score)``: the ``k`` nearest rows of each row for which ``chosen`` holds."""
         spark = table.sparkSession
         rows = usable_vectors(table.withColumn("_query", F.coalesce(chosen, F.lit(False))), key, vector, "_query")
-        rows = materialise(rows, "ann-rows")
+        rows = materialise(rows.filter("vec_id IS NOT NULL"), "ann-rows")
         schema = "query_id bigint, rank int, vec_id bigint, score double"
         sizes = {row[0]: row[1] for row in rows.groupBy(F.size("embedding")).count().collect()}
         if not sizes:

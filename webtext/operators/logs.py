@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webtext.functions import logline
@@ -75,6 +75,17 @@ def daily_counts(routed: DataFrame, ts: str = "ts") -> DataFrame:
     return with_day(routed, ts).groupBy("sink", "day").agg(F.count("*").alias("lines"))
 
 
+def daily_sink_counts(lines: DataFrame, level: str = "level", ts: str = "ts") -> DataFrame:
+    """Lines per sink and day; counted by level and day first, so only a handful of rows goes to the sinks."""
+    levels = with_day(lines, ts).groupBy(level, "day").agg(F.count("*").alias("lines"))
+    return route_levels(levels, level).groupBy("sink", "day").agg(F.sum("lines").alias("lines"))
+
+
+def read_routed(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that :func:`write_routed` wrote; ``sink`` and ``day`` come from the folders."""
+    return spark.read.parquet(path).withColumn("day", F.col("day").cast("date"))
+
+
 def time_buckets(
     events: DataFrame,
     ts: str = "ts",

@@ -60,6 +60,13 @@ def line_ingest(spark, folder):
     return lines.read_lines(spark, files, ("demo",)).select("message", F.array_join("tags", ",").alias("tags"))
 
 
+def log_rotated(spark, folder):
+    """The daily rotated sink: written by sink and day, then read back."""
+    path = fresh_dir(spark, "rotated")
+    logs.write_routed(_routed(spark, folder), path)
+    return logs.read_routed(spark, path).select("event_id", "level", "msg", "sink", "day")
+
+
 def _days(spark, folder):
     return _events(spark, folder).select(F.to_date("ts").alias("day")).distinct()
 
@@ -96,7 +103,8 @@ QUERIES = {
     "log_lines": lambda spark, folder: _parsed(spark, folder).drop("raw"),
     "line_ingest": line_ingest,
     "log_route": lambda spark, folder: _routed(spark, folder).select("event_id", "level", "sink"),
-    "log_daily_counts": lambda spark, folder: logs.daily_counts(_routed(spark, folder)),
+    "log_daily_counts": lambda spark, folder: logs.daily_sink_counts(_parsed(spark, folder)),
+    "log_rotated": log_rotated,
     "time_buckets": time_buckets,
     "retention_plan": retention_plan,
     "topic_route": lambda spark, folder: logs.route_topic(_messages(spark, folder), "exchange.*"),
@@ -132,6 +140,7 @@ SQL = {
     "line_ingest": f"WITH {LINES_SQL} SELECT value AS message, 'demo' AS tags FROM lines",
     "log_route": f"WITH {_ROUTED_SQL} SELECT event_id, level, sink FROM routed",
     "log_daily_counts": f"WITH {_ROUTED_SQL} SELECT sink, ts::date AS day, count(*) AS lines FROM routed GROUP BY ALL",
+    "log_rotated": f"WITH {_ROUTED_SQL} SELECT event_id, level, msg, sink, ts::date AS day FROM routed",
     "time_buckets": "SELECT date_trunc('hour', ts) AS bucket, 2 * count(*) AS events FROM events GROUP BY ALL",
     "retention_plan": """
 SELECT DISTINCT 'logstash-' || strftime(ts, '%Y.%m.%d') AS name, ts::date::timestamp AS creation_date

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import zlib
 
 import numpy as np
@@ -50,10 +51,15 @@ def test_frames_find_damage():
             idfile.unpack_frames([bytes(broken)])
 
 
-def expected_ids(text):
+@functools.cache
+def byte_library():
     library = Tokenizer.from_file(BYTE)
     library.encode_special_tokens = True
-    return np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+    return library
+
+
+def expected_ids(text):
+    return np.array([*byte_library().encode(text or "", add_special_tokens=False).ids, 0], "<u4")
 
 
 def test_files_of_odd_documents(spark, odd):
@@ -85,9 +91,7 @@ def test_op4(spark, data, documents):
 
 
 def brute_counts(text, rule):
-    library = Tokenizer.from_file(BYTE)
-    library.encode_special_tokens = True
-    sizes = [len(t) for t in library.encode(text, add_special_tokens=False).tokens]
+    sizes = [len(t) for t in byte_library().encode(text, add_special_tokens=False).tokens]
     owner, line = [], 0
     data = text.encode()
     for byte in data:

@@ -44,7 +44,7 @@ SIMILARITY = Fraction(4, 5)
 LOCAL, MANY, LISTED = 4, 24, 1_000_000
 #: Groups of a key up to this size give their pairs by a join; larger ones are compared in chunks of so many nodes.
 SMALL, CHUNK = 8, 256
-_BUFFER = 4_000_000
+_BUFFER = 2_000_000
 
 _FACTORS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
 _hashed: list[Hashed] = []

@@ -114,7 +114,7 @@ class Labeller:
 
     def __init__(self, model: Model):
         self.model = model
-        self.numbered = Numbered(max(10_000, 2_000_000 // max(1, len(model.languages))))
+        self.numbered = Numbered(max(10_000, 600_000 // max(1, len(model.languages))))
         self._forget()
 
     def _forget(self) -> None:

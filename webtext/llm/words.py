@@ -14,7 +14,7 @@ WORD = re.compile(r"[^\W_]+")
 class Numbered:
     """Gives each distinct word a number; forgets all when more than ``limit`` are known."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 150_000):
         self.limit = limit
         self.known: dict[str | bytes, int] = {}
 

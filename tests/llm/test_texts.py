@@ -68,6 +68,17 @@ def test_spans_in_base64_are_narrow():
     assert base64.b64decode(text[span[1] // 4 * 4 : -(-span[2] // 4) * 4]).startswith(b"6 token=abcdefgh")
 
 
+@pytest.mark.parametrize("pack", [lambda b: b, gzip.compress])
+def test_a_blob_that_stands_twice_is_found_twice(spark, pack):
+    blob = base64.b64encode(pack(SECRET.encode())).decode()
+    text = f"first: {blob} second: {blob} end"
+    spans = secretscan.find(text)
+    for at in (text.index(blob), text.rindex(blob)):
+        assert {k for k, s, e, _ in spans if at <= s < e <= at + len(blob)} == {"assign", "access", "hex"}
+    (row,) = secretscan.redact(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    assert secretscan.find(row.text) == [] and row.text.count("[secret]") >= 2
+
+
 def test_cycles_end():
     assert secretscan.find("%25" * 50 + "41") == [] and secretscan.find("%2525252541" * 30) == []
 

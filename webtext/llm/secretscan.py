@@ -2,8 +2,8 @@
 
 A worklist starts with the text. Each layer is scanned with the base patterns and unwrapped: URL
 escapes, ``\\uXXXX`` and ``\\xXX`` escapes, base64 runs, and compressed data found under base64. What
-comes out is a new layer, unless a layer of the same content was seen (so cycles end), until nothing
-is left. Every character of a layer knows the code points of the text it comes from, so a find in a
+comes out is a new layer, unless a layer of the same content from the same place was seen (so cycles
+end, and a blob that stands twice is read at both places), until nothing is left. Every character of a layer knows the code points of the text it comes from, so a find in a
 layer is reported with its place in the text.
 
 Spans are code points, end exclusive, ordered by start, then kind. Base spans (depth 0) always
@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import hashlib
 import lzma
 import re
 import zlib
@@ -66,6 +67,10 @@ class Layer:
     def __init__(self, text: str, begin: np.ndarray, end: np.ndarray, depth: int):
         self.text, self.begin, self.end, self.depth = text, begin, end, depth
 
+    def key(self) -> tuple[str, bytes]:
+        """Content and origin."""
+        return self.text, hashlib.blake2b(self.begin.tobytes() + self.end.tobytes(), digest_size=16).digest()
+
     @classmethod
     def root(cls, text: str) -> Layer:
         at = np.arange(len(text))
@@ -161,7 +166,7 @@ def _readable(data: bytes | None) -> str | None:
 def find(text: str) -> list[tuple[str, int, int, int]]:
     """All spans ``(kind, start, end, depth)`` of one text."""
     found: dict[tuple[int, int, int], int] = {span: 0 for span in base_spans(text)}
-    seen = {text}
+    seen: set[tuple[str, bytes]] = set()
     work = [Layer.root(text)] if "%" in text or "\\" in text or _BASE64.search(text) else []
     while work:
         layer = work.pop()
@@ -171,8 +176,8 @@ def find(text: str) -> list[tuple[str, int, int, int]]:
                 found.setdefault(place, layer.depth)
         new = [layer.replaced(_URL, _from_url), layer.replaced(_ESCAPE, _from_escape), *layer.inner()]
         for child in new:
-            if child is not None and child.text not in seen:
-                seen.add(child.text)
+            if child is not None and (key := child.key()) not in seen:
+                seen.add(key)
                 work.append(child)
     return [(KINDS[kind], start, end, depth) for (start, kind, end), depth in sorted(found.items())]
 

@@ -9,8 +9,11 @@ layer is reported with its place in the text.
 Spans are code points, end exclusive, ordered by start, then kind. Base spans (depth 0) always
 stay; a deeper find with the kind and place of another is not reported twice.
 
-Defined results: null and empty text have no spans; equal rows are scanned each; a layer that would
-grow beyond ``LAYER_BYTES`` when decompressed is not opened (a guard against decompression bombs).
+Defined results: null and empty text have no spans; equal rows are scanned each; decoded bytes that
+are not UTF-8 count as one unknown character each, and what stands between them is scanned; of damaged
+compressed data, what was read before the damage is scanned; a layer that grows beyond ``LAYER_BYTES``
+when decompressed is scanned in windows that overlap by ``OVERLAP`` bytes (so a decompression bomb
+costs time, not memory, and only compressed data longer than the overlap can be cut by a window).
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from webtext.llm.rows import slices, texts_of
 
 LAYER_BYTES = 64 << 20
+OVERLAP = 8 << 20
 
 # The base patterns and the least lengths of what they find.
 ASSIGN = re.compile(r"""(?a:(?i:(password|passwd|secret|token|api_?key)))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -44,6 +48,10 @@ _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|\\u\{[0-9A-Fa-f]{1,6}\}")
 _MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh", b"\xfd7zXZ\x00")
 
+# What any span or further layer needs at least; decoded data without it is passed over.
+_WORTH = re.compile(rb"""[dDtTnNyY]["']?\x20*[:=]|%[0-9A-Fa-f]{2}|\\[ux]|[A-Za-z0-9+/_-]{16}""")
+_STEP_IN, _STEP_OUT = 4 << 10, 1 << 20
+
 SPANS = "array<struct<kind string, start bigint, end bigint, depth int>>"
 
 _HEX_BYTE = np.zeros(256, bool)
@@ -67,9 +75,12 @@ class Layer:
     def __init__(self, text: str, begin: np.ndarray, end: np.ndarray, depth: int):
         self.text, self.begin, self.end, self.depth = text, begin, end, depth
 
-    def key(self) -> tuple[str, bytes]:
-        """Content and origin."""
-        return self.text, hashlib.blake2b(self.begin.tobytes() + self.end.tobytes(), digest_size=16).digest()
+    def key(self) -> bytes:
+        """Hash of content and origin."""
+        digest = hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=24)
+        for place in (self.begin, self.end):
+            digest.update(place[: None if place.strides[0] else 1].tobytes())
+        return digest.digest()
 
     @classmethod
     def root(cls, text: str) -> Layer:
@@ -94,26 +105,34 @@ class Layer:
         ends.append(self.end[last:])
         return Layer("".join(texts), np.concatenate(begins), np.concatenate(ends), self.depth + 1)
 
+    def children(self) -> Iterator[Layer]:
+        """One at a time, so that few windows of a large layer are held."""
+        yield from self.inner()
+        for pattern, decode in ((_ESCAPE, _from_escape), (_URL, _from_url)):
+            if (child := self.replaced(pattern, decode)) is not None:
+                yield child
+
     def inner(self) -> Iterator[Layer]:
-        """Readable content of the base64 runs, compressed or not."""
+        """Content of the base64 runs, compressed or not, whatever characters it holds."""
         for match in _BASE64.finditer(self.text):
             raw = _from_base64(match.group())
             if raw is None:
                 continue
-            packed = raw.startswith(_MAGIC)
-            data = _decompressed(raw) if packed else raw
-            text = _readable(data)
-            if not text:
-                continue
             first, last = match.start(), match.end() - 1
-            if packed or len(text) != len(data):
-                begin = np.full(len(text), self.begin[first])
-                end = np.full(len(text), self.end[last])
-            else:  # three bytes stand in four characters
-                at = np.arange(len(text))
+            if raw.startswith(_MAGIC):
+                for data in _unpacked(raw):
+                    yield self._within(data, first, last)
+            if _WORTH.search(raw):
+                text, size = _characters(raw)
+                at = np.cumsum(size) - size  # three bytes stand in four characters
                 begin = self.begin[first + at * 4 // 3]
-                end = self.end[np.minimum(first + (at * 4 + 7) // 3 - 1, last)]
-            yield Layer(text, begin, end, self.depth + 1)
+                end = self.end[np.minimum(first + (8 * (at + size - 1) + 7) // 6, last)]
+                yield Layer(text, begin, end, self.depth + 1)
+
+    def _within(self, data: bytes, first: int, last: int) -> Layer:
+        """A layer of which all characters come from the characters ``first`` to ``last``."""
+        text, _ = _characters(data)
+        return Layer(text, np.broadcast_to(self.begin[first], len(text)), np.broadcast_to(self.end[last], len(text)), self.depth + 1)
 
 
 def _from_url(run: str) -> str:
@@ -139,46 +158,77 @@ def _from_base64(run: str) -> bytes | None:
         return None
 
 
-def _decompressed(raw: bytes) -> bytes | None:
-    try:
-        if raw.startswith(b"BZh"):
+def _decompressed(raw: bytes) -> Iterator[bytes]:
+    """The content of all members in pieces; of damaged data, the pieces before the damage."""
+    at, raw = 0, memoryview(raw)
+    while bytes(raw[at : at + 6]).startswith(_MAGIC):
+        if raw[at] == 0x42:
             opener = bz2.BZ2Decompressor()
-        elif raw.startswith(b"\xfd7zXZ"):
+        elif raw[at] == 0xFD:
             opener = lzma.LZMADecompressor()
         else:
             opener = zlib.decompressobj(47)
-        data = opener.decompress(raw, LAYER_BYTES + 1)
-    except (OSError, EOFError, zlib.error, lzma.LZMAError):
-        return None
-    return data if len(data) <= LAYER_BYTES else None
-
-
-def _readable(data: bytes | None) -> str | None:
-    if not data:
-        return None
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
+        try:
+            while not opener.eof and at < len(raw):
+                piece = raw[at : at + _STEP_IN]
+                at += len(piece)
+                yield opener.decompress(piece, _STEP_OUT)
+                while not opener.eof:  # zlib hands back what it did not read, the others keep it
+                    kept = getattr(opener, "unconsumed_tail", b"")
+                    data = opener.decompress(kept, _STEP_OUT)
+                    if not data:
+                        break
+                    yield data
+        except (OSError, EOFError, zlib.error, lzma.LZMAError):
+            return
+        at -= len(opener.unused_data)
+        while at < len(raw) and raw[at] == 0:  # padding between members
+            at += 1
+
+
+def _unpacked(raw: bytes) -> Iterator[bytes]:
+    """The content in windows of about ``LAYER_BYTES``, each beginning with the last ``OVERLAP`` bytes of the one before."""
+    held, new = bytearray(), False
+    for data in _decompressed(raw):
+        held += data
+        new = new or bool(data)
+        if len(held) >= LAYER_BYTES:
+            yield bytes(held)
+            del held[:-OVERLAP]
+            new = False
+    if new:
+        yield bytes(held)
+
+
+def _characters(data: bytes) -> tuple[str, np.ndarray]:
+    """The text and the number of bytes behind each character; a byte that is not UTF-8 is one character."""
+    if data.isascii():
+        return data.decode("ascii"), np.ones(len(data), np.int64)
+    points = np.frombuffer(data.decode("utf-8", "surrogateescape").encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+    stray = (points >= 0xD800) & (points < 0xE000)
+    size = np.where(stray, 1, 1 + (points >= 0x80) + (points >= 0x800).astype(np.int64) + (points >= 0x10000))
+    points[stray] = 0xFFFD
+    return points.tobytes().decode("utf-32-le"), size
 
 
 def find(text: str) -> list[tuple[str, int, int, int]]:
     """All spans ``(kind, start, end, depth)`` of one text."""
     found: dict[tuple[int, int, int], int] = {span: 0 for span in base_spans(text)}
-    seen: set[tuple[str, bytes]] = set()
-    work = [Layer.root(text)] if "%" in text or "\\" in text or _BASE64.search(text) else []
+    seen: set[bytes] = set()
+    work = [iter([Layer.root(text)])] if "%" in text or "\\" in text or _BASE64.search(text) else []
     while work:
-        layer = work.pop()
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        if (key := layer.key()) in seen:
+            continue
+        seen.add(key)
         if layer.depth:
             for start, kind, end in base_spans(layer.text):
                 place = (int(layer.begin[start:end].min()), kind, int(layer.end[start:end].max()))
                 found.setdefault(place, layer.depth)
-        new = [layer.replaced(_URL, _from_url), layer.replaced(_ESCAPE, _from_escape), *layer.inner()]
-        for child in new:
-            if child is not None and (key := child.key()) not in seen:
-                seen.add(key)
-                work.append(child)
+        work.append(layer.children())
     return [(KINDS[kind], start, end, depth) for (start, kind, end), depth in sorted(found.items())]
 
 

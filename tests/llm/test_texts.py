@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import lzma
 import re
+import zlib
 from urllib.parse import quote
 
 import numpy as np
@@ -115,6 +116,29 @@ def test_large_layers_are_read_in_windows(monkeypatch):
     assert {k for k, *_ in secretscan.find(text)} == {"assign", "access"}
 
 
+@pytest.mark.parametrize("pack", [lambda b: b, gzip.compress, bz2.compress, lzma.compress, zlib.compress])
+@pytest.mark.parametrize("encode", [base64.b64encode, base64.urlsafe_b64encode])
+@pytest.mark.parametrize("around", [("", ""), ("key-", "-x"), ("files/a_b/", "/next"), ("long-name_of/", "_more+"), ("\\n", " ")])
+@pytest.mark.parametrize("marks", ["", "~~~???>>>", "é🎉ÿ"])
+def test_long_runs_of_both_alphabets(marks, around, encode, pack):
+    for shift in range(3):
+        data = ("." * shift + marks + " line one " * 9 + marks + " " + SECRET + " ;" + marks + "~").encode()
+        inside = encode(pack(data)).decode().rstrip("=")
+        spans = secretscan.find(f"see {around[0]}{inside}{around[1]}")
+        first = 4 + len(around[0])
+        deep = [span for span in spans if span[3]]
+        assert {k for k, *_ in deep} == {"assign", "access", "hex"} and all(first <= s < e for _, s, e, _ in deep)
+
+
+def test_spans_in_runs_are_exact():
+    data = b"~~>? token=abcdefgh"
+    inside = base64.urlsafe_b64encode(data).decode().rstrip("=")
+    (span,) = secretscan.find(f"name-{inside}-tail/of_path")
+    at = data.index(b"token")
+    assert "-" in inside[:8] or "_" in inside[:8]
+    assert span[1:3] == (5 + at * 4 // 3, 5 + len(inside))
+
+
 def test_cycles_end():
     assert secretscan.find("%25" * 50 + "41") == [] and secretscan.find("%2525252541" * 30) == []
 

@@ -18,7 +18,6 @@ costs time, not memory, and only compressed data longer than the overlap can be
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -43,7 +42,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex")
 
-_BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{16,}|[A-Za-z0-9_-]{16,})={0,2}")
+# Both alphabets in one run. Its separators may also stand before or behind what is encoded; they are 62 and 63,
+# which next to encoded text never decode to a character that a base pattern takes.
+_BASE64 = re.compile(r"([A-Za-z0-9+/_-]{16,})={0,2}")
+# How the first bytes of _MAGIC begin in base64.
+_PACKED = re.compile(r"(?=H4s|e(?:A[E-H]|F[4-7]|J[w-z]|N[o-r])|Qlpo|/Td6WFoA)")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|\\u\{[0-9A-Fa-f]{1,6}\}")
 _MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh", b"\xfd7zXZ\x00")
@@ -115,19 +118,23 @@ class Layer:
     def inner(self) -> Iterator[Layer]:
         """Content of the base64 runs, compressed or not, whatever characters it holds."""
         for match in _BASE64.finditer(self.text):
-            raw = _from_base64(match.group())
-            if raw is None:
-                continue
-            first, last = match.start(), match.end() - 1
-            if raw.startswith(_MAGIC):
-                for data in _unpacked(raw):
-                    yield self._within(data, first, last)
-            if _WORTH.search(raw):
-                text, size = _characters(raw)
-                at = np.cumsum(size) - size  # three bytes stand in four characters
-                begin = self.begin[first + at * 4 // 3]
-                end = self.end[np.minimum(first + (8 * (at + size - 1) + 7) // 6, last)]
-                yield Layer(text, begin, end, self.depth + 1)
+            run, last = match[1].replace("-", "+").replace("_", "/"), match.end() - 1
+            packed = [m.start() for m in _PACKED.finditer(run)]
+            # Four characters make three bytes, so what begins within the run is read by one of four phases.
+            for phase in range(4):
+                raw = _from_base64(run[phase:])
+                for at in packed:
+                    if at % 4 == phase:
+                        first = match.start() + at
+                        for data in _unpacked(memoryview(raw)[(at - phase) // 4 * 3 :]):
+                            yield self._within(data, first, last)
+                if _WORTH.search(raw):
+                    text, size = _characters(raw)
+                    at = match.start() + phase
+                    byte = np.cumsum(size) - size
+                    begin = self.begin[at + byte * 4 // 3]
+                    end = self.end[at + (8 * (byte + size - 1) + 7) // 6]
+                    yield Layer(text, begin, end, self.depth + 1)
 
     def _within(self, data: bytes, first: int, last: int) -> Layer:
         """A layer of which all characters come from the characters ``first`` to ``last``."""
@@ -148,19 +155,15 @@ def _from_escape(run: str) -> str | None:
     return bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be", "replace")
 
 
-def _from_base64(run: str) -> bytes | None:
-    body = run.rstrip("=")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
-        return None
+def _from_base64(run: str) -> bytes:
+    """What whole bytes the run holds."""
+    held = len(run) - (len(run) % 4 == 1)
+    return binascii.a2b_base64(run[:held] + "=" * (-held % 4))
 
 
-def _decompressed(raw: bytes) -> Iterator[bytes]:
+def _decompressed(raw: memoryview) -> Iterator[bytes]:
     """The content of all members in pieces; of damaged data, the pieces before the damage."""
-    at, raw = 0, memoryview(raw)
+    at = 0
     while bytes(raw[at : at + 6]).startswith(_MAGIC):
         if raw[at] == 0x42:
             opener = bz2.BZ2Decompressor()
@@ -186,7 +189,7 @@ def _decompressed(raw: bytes) -> Iterator[bytes]:
             at += 1
 
 
-def _unpacked(raw: bytes) -> Iterator[bytes]:
+def _unpacked(raw: memoryview) -> Iterator[bytes]:
     """The content in windows of about ``LAYER_BYTES``, each beginning with the last ``OVERLAP`` bytes of the one before."""
     held, new = bytearray(), False
     for data in _decompressed(raw):

@@ -8,9 +8,10 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from webtext.llm import idfile, pieces, rangecoder, tokencount
+from webtext.llm import encode, idfile, pieces, rangecoder, tokencount
 from webtext.llm.queries import QUERIES
 from webtext.session import fresh_dir
 
@@ -126,6 +127,29 @@ def test_field_counts_and_edges(odd, none):
         tokencount.count_tokens(odd, BYTE, rule="half")
 
 
+MARKED = ["a<|endoftext|>b", "<|startoftext|>One  two\n<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endoftext", "plain words", "日本<|endoftext|> é"]
+
+
+@pytest.mark.parametrize("file", [BYTE, public_tokenizers.path("word_bpe_49k.json")])
+def test_added_tokens_equal_the_unchanged_library(file):
+    library = Tokenizer.from_file(file)
+    ids, counts = encode.Encoder(file).encode(MARKED)
+    got = [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+    assert got == [library.encode(text, add_special_tokens=False).ids for text in MARKED]
+
+
+def test_files_and_line_counts_with_added_tokens(spark):
+    library = Tokenizer.from_file(BYTE)
+    df = spark.createDataFrame(list(enumerate(MARKED)), "doc_id bigint, text string")
+    path = fresh_dir(spark, "ids-test")
+    idfile.write(df, path, BYTE, 0)
+    got = [list(np.frombuffer(r.ids, "<u4")) for r in idfile.read(spark, path).orderBy("start").collect()]
+    want = [library.encode(text, add_special_tokens=False).ids for text in MARKED]
+    assert got == [[*ids, 0] for ids in want]
+    totals = {r.doc_id: r.n for r in tokencount.count_tokens(df, BYTE).groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()}
+    assert totals == {i: len(ids) for i, ids in enumerate(want)}
+
+
 def test_op8(spark, data, documents):
     got = {}
     for r in QUERIES["op8_token_counts"](spark, data).orderBy("section").collect():

@@ -3,7 +3,8 @@
 Both vocabularies split a text into words before any merge, and a word's ids depend on nothing but
 the word. So a text is split by the vocabulary's own rule, new words go to the library in one
 batch, and known ones are looked up. Texts with characters outside the range in which Python and
-the library agree on letters and white space go to the library whole.
+the library agree on letters and white space go to the library whole, and so do texts with an added
+token of the file (such as ``<|endoftext|>``), which the library takes as one id.
 """
 
 from __future__ import annotations
@@ -97,7 +98,7 @@ class Encoder(WordStore):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(file)
-        self.whole.encode_special_tokens = True
+        self.added = {token.content for token in self.whole.get_added_tokens_decoder().values()}
         self.words = Tokenizer(self.whole.model)
         self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.lower = self.whole.normalizer is not None
@@ -110,7 +111,7 @@ class Encoder(WordStore):
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another (uint32) and the number of ids of each text (int64)."""
-        odd = [i for i, text in enumerate(texts) if _odd(text)]
+        odd = [i for i, text in enumerate(texts) if _odd(text) or any(token in text for token in self.added)]
         split, lower = self.split, self.lower
         skipped = set(odd)
         words = [[] if i in skipped else split(text.lower() if lower else text) for i, text in enumerate(texts)]

@@ -31,11 +31,13 @@ _sizes: dict[str, np.ndarray] = {}
 
 
 def _token_bytes(file: str) -> np.ndarray:
-    """Bytes of each id; in a byte-level vocabulary a token's text has one character per byte."""
+    """Bytes of each id; in a byte-level vocabulary a token's text has one character per byte, but an added token is plain."""
     if file not in _sizes:
         vocabulary = encoder(file).whole.get_vocab()
         sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         sizes[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        for i, token in encoder(file).whole.get_added_tokens_decoder().items():
+            sizes[i] = len(token.content.encode())
         _sizes[file] = sizes
     return _sizes[file]
 

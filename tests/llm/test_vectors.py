@@ -126,3 +126,20 @@ def test_hot_cells_are_cut():
     assert parts.tolist() == [1, 1, 10, 1, 1, 3]
     used = [range(first[c], first[c] + parts[c]) for c in np.flatnonzero(counts)]
     assert not set(used[1]) & set(used[0]) and not set(used[1]) & set(used[2]) and not set(used[4]) & set(used[3])
+
+
+def test_repeated_query_rows_are_one_query(spark):
+    draw = np.random.default_rng(4)
+    vectors = draw.standard_normal((60, 8)).astype(np.float32).astype(float)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+    other = (-vectors[0]).tolist()
+    df = table(spark, [*rows, rows[0], rows[0], rows[1], (0, other, 1)])
+    got = ann.MultiIndex(centroids=4).search(df, F.col("vec_id") < 3, 20).collect()
+    ids = np.array([0, *range(60), 0, 0, 1])
+    held = np.array([other, *vectors.tolist(), *vectors[[0, 0, 1]].tolist()])
+    want = []
+    for i, query in [(0, vectors[0]), (0, np.array(other)), (1, vectors[1]), (2, vectors[2])]:
+        scores = held @ query
+        best = [j for j in np.lexsort((ids, -scores)) if ids[j] != i][:20]
+        want += [(i, rank, int(ids[j])) for rank, j in enumerate(best, 1)]
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == sorted(want)

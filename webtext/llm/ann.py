@@ -16,7 +16,9 @@ cells all over the index, and recall follows the share of rows looked at.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, or are not as
 long as most, and rows without an id, take no part, neither as query nor as candidate; a row is never its own neighbour, nor
-is one with the same id; ties go to the smaller id; fewer candidates than ``k`` are all returned; an
+is one with the same id; a query row that occurs several times with the same vector is one query, and rows
+of one id with different vectors are queries of their own, each with its own ranks; repeated candidates
+are rows of their own; ties go to the smaller id; fewer candidates than ``k`` are all returned; an
 empty table gives no rows.
 """
 
@@ -138,20 +140,21 @@ class MultiIndex:
                         hit[first[cell] : first[cell] + parts[cell]] = True
                     reached.append(np.flatnonzero(hit).tolist())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("vec_id"), batch.column("embedding"), pa.array(flags, pa.binary()), pa.array(reached, pa.list_(pa.int32()))],
-                    names=["vec_id", "embedding", "cells", "groups"],
+                    [*batch.columns, pa.array(flags, pa.binary()), pa.array(reached, pa.list_(pa.int32()))],
+                    names=[*batch.schema.names, "cells", "groups"],
                 )
 
-        queries = cells.filter("_query").select("vec_id", "embedding")
-        probed = queries.mapInArrow(probe, "vec_id bigint, embedding array<double>, cells binary, groups array<int>")
+        same = F.xxhash64(F.transform("embedding", lambda x: x + F.lit(0.0)))  # -0.0 as 0.0
+        queries = cells.filter("_query").select("vec_id", "embedding", same.alias("query")).dropDuplicates(["vec_id", "query"])
+        probed = queries.mapInArrow(probe, "vec_id bigint, embedding array<double>, query bigint, cells binary, groups array<int>")
         asked = probed.select(
             F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.explode("groups").alias("grp"), F.lit(0).alias("side"),
-            "vec_id", "embedding", "cells", F.lit(-1).alias("cell"),
+            "vec_id", "embedding", "query", "cells", F.lit(-1).alias("cell"),
         )
         held = cells.join(lookup, "cell").select(
             F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
             (F.col("_first") + F.pmod(F.xxhash64("vec_id", F.lit(11)), F.col("_parts"))).cast("int").alias("grp"), F.lit(1).alias("side"),
-            "vec_id", "embedding", F.lit(None).cast("binary").alias("cells"), "cell",
+            "vec_id", "embedding", F.lit(None).cast("bigint").alias("query"), F.lit(None).cast("binary").alias("cells"), "cell",
         )
         shuffles = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
         dealt = asked.union(held).repartition(shuffles, "block", "grp").sortWithinPartitions("block", "grp", "side", "vec_id")
@@ -160,10 +163,10 @@ class MultiIndex:
             for group in sorted_groups(batches, "block", "grp"):
                 found = _best(group, k, len(counts))
                 if found is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "query", "vec_id", "score"])
 
-        found = dealt.mapInArrow(compare, "query_id bigint, vec_id bigint, score double")
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        found = dealt.mapInArrow(compare, "query_id bigint, query bigint, vec_id bigint, score double")
+        order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
     def _groups(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +187,7 @@ class MultiIndex:
         return first, parts
 
 
-def _best(group: pa.Table, k: int, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+def _best(group: pa.Table, k: int, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
     """Each query's best ``k`` rows of one group among the rows of the cells it visits."""
     side = group.column("side").to_numpy()
     n = int((side == 0).sum())
@@ -200,5 +203,6 @@ def _best(group: pa.Table, k: int, cells: int) -> tuple[np.ndarray, np.ndarray,
     best = np.argsort(-scores, axis=1, kind="stable")[:, :k]  # rows come in ascending vec_id
     value = np.take_along_axis(scores, best, axis=1)
     query = np.repeat(ids[:n], best.shape[1])
+    vector = np.repeat(group.column("query").slice(0, n).to_numpy(), best.shape[1])
     keep = value.ravel() > -np.inf
-    return query[keep], ids[n:][best.ravel()[keep]], value.ravel()[keep]
+    return query[keep], vector[keep], ids[n:][best.ravel()[keep]], value.ravel()[keep]

@@ -240,3 +240,12 @@ def test_curve_over_several_partitions(spark):
         assert (row["tp"], row["fp"]) == (tp, fp)
     curve = metrics.roc_curve(df, "label", "score").orderBy(F.desc("threshold")).collect()
     assert tuple(curve[0])[1:] == (0.0, 0.0) and tuple(curve[-1])[1:] == (1.0, 1.0)
+
+
+def test_final_queries_work_on_the_final_text(spark, data):
+    from webtext.plans.registry import QUERIES
+
+    words = {w for r in QUERIES["final_text"](spark, data).collect() for w in (r.final_text or "").split()}
+    cleaned = {r.term for r in QUERIES["bow_counts"](spark, data).collect()}
+    terms = {r.term for r in QUERIES["final_bow_counts"](spark, data).collect()}
+    assert terms <= words and cleaned - words and not terms & (cleaned - words)

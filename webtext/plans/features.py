@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webtext.functions import clean
 from webtext.operators import classify, metrics, splits, tfidf
 from webtext.operators.embedding import WordVectors
-from webtext.plans import sql
+from webtext.plans import sql, text
 from webtext.plans.text import _cleaned, _tokens
 from webtext.session import materialise
 from webtext.sources import collections as store
@@ -35,12 +37,27 @@ def _split(spark, folder) -> tuple[DataFrame, DataFrame]:
     return train.select("doc_id", cleaned), test.select("doc_id", cleaned)
 
 
+def _final(spark, folder) -> DataFrame:
+    """All documents with stop words out and lemmas in, where the others have the cleaned text."""
+    final = text.final_text(spark, folder).select("doc_id", F.col("final_text").alias("clean_text"))
+    return materialise(final, "final-text")
+
+
+def _final_split(spark, folder) -> tuple[DataFrame, DataFrame]:
+    first, _ = splits.half_split(_final(spark, folder), "doc_id")
+    return splits.train_test_split(first, "doc_id")
+
+
+def _final_tokens(spark, folder) -> DataFrame:
+    return _final(spark, folder).select("doc_id", clean.clean_words(F.col("clean_text")).alias("tokens"))
+
+
 def train_test_split(spark, folder):
     return _parts(*_split(spark, folder), ("train", "test"))
 
 
-def tfidf_vocab(spark, folder):
-    train, _ = _split(spark, folder)
+def tfidf_vocab(spark, folder, split=_split):
+    train, _ = split(spark, folder)
     model = tfidf.TfidfModel.fit(train, "doc_id", "clean_text")
     return model.vocabulary.select("term", "df", F.round("idf", 6).alias("idf"))
 
@@ -49,19 +66,19 @@ def _shown_weights(weights: DataFrame) -> DataFrame:
     return weights.select("doc_id", "term", F.round("value", 6).alias("value"))
 
 
-def tfidf_train(spark, folder):
-    train, _ = _split(spark, folder)
+def tfidf_train(spark, folder, split=_split):
+    train, _ = split(spark, folder)
     return _shown_weights(tfidf.TfidfModel.fit_transform(train, "doc_id", "clean_text")[1])
 
 
-def tfidf_test(spark, folder):
-    train, test = _split(spark, folder)
+def tfidf_test(spark, folder, split=_split):
+    train, test = split(spark, folder)
     model = tfidf.TfidfModel.fit(train, "doc_id", "clean_text")
     return _shown_weights(model.transform(test, "doc_id", "clean_text"))
 
 
-def bow_counts(spark, folder):
-    return tfidf.bag_of_words(_cleaned(spark, folder), "doc_id", "clean_text")
+def bow_counts(spark, folder, texts=_cleaned):
+    return tfidf.bag_of_words(texts(spark, folder), "doc_id", "clean_text")
 
 
 def _given_vectors(spark, folder, share: int) -> WordVectors:
@@ -87,17 +104,17 @@ def mean_embedding_zero(spark, folder):
     )
 
 
-def _trained(spark, folder) -> WordVectors:
+def _trained(spark, folder, tokens=_tokens) -> WordVectors:
     """On all documents, as a vocabulary has to know every text."""
-    return WordVectors.train(_tokens(spark, folder), "tokens")
+    return WordVectors.train(tokens(spark, folder), "tokens")
 
 
 def word2vec_vectors(spark, folder):
     return _trained(spark, folder).table
 
 
-def word2vec_vocab(spark, folder):
-    return _trained(spark, folder).table.select("word", F.size("vector").alias("dims"))
+def word2vec_vocab(spark, folder, tokens=_tokens):
+    return _trained(spark, folder, tokens).table.select("word", F.size("vector").alias("dims"))
 
 
 def _labels(spark, folder):
@@ -114,8 +131,8 @@ def logreg_predictions(spark, folder):
     )
 
 
-def nb_predictions(spark, folder):
-    train, test = _split(spark, folder)
+def nb_predictions(spark, folder, split=_split):
+    train, test = split(spark, folder)
     model = classify.NaiveBayesModel.fit(
         train.join(_labels(spark, folder), "doc_id"), "doc_id", "clean_text", "target"
     )
@@ -155,6 +172,12 @@ QUERIES = {
     "word2vec_vocab": word2vec_vocab,
     "logreg_predictions": logreg_predictions,
     "nb_predictions": nb_predictions,
+    "final_tfidf_vocab": partial(tfidf_vocab, split=_final_split),
+    "final_tfidf_train": partial(tfidf_train, split=_final_split),
+    "final_tfidf_test": partial(tfidf_test, split=_final_split),
+    "final_bow_counts": partial(bow_counts, texts=_final),
+    "final_word2vec_vocab": partial(word2vec_vocab, tokens=_final_tokens),
+    "final_nb_predictions": partial(nb_predictions, split=_final_split),
     "confusion_matrix": lambda spark, folder: metrics.confusion_matrix(_scored(spark, folder), "target", "prediction"),
     "class_report": class_report,
     "roc_curve": roc_curve,
@@ -261,3 +284,16 @@ UNION ALL SELECT 'inf'::double, 0, 0""",
 SELECT round(sum(CASE WHEN a.score > b.score THEN 1 WHEN a.score = b.score THEN 0.5 ELSE 0 END) / count(*), 6)::double AS auc
 FROM scored a JOIN scored b ON a.target = 1 AND b.target = 0""",
 }
+
+
+def _final_sql(name: str) -> str:
+    """The statement of ``name`` over the final texts."""
+    body = SQL[name].strip().replace("FROM documents", "FROM final_documents")
+    final = f"WITH final_documents AS (SELECT doc_id, final_text AS text FROM ({text.SQL['final_text']}))"
+    return f"{final}, {body.removeprefix('WITH')}" if body.startswith("WITH") else f"{final} {body}"
+
+
+SQL |= {
+    f"final_{name}": _final_sql(name)
+    for name in ("tfidf_vocab", "tfidf_train", "tfidf_test", "bow_counts", "word2vec_vocab", "nb_predictions")
+}

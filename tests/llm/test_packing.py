@@ -63,7 +63,6 @@ def test_encoder_equals_library(file, documents):
     texts = [row[0] or "" for row in documents.select("text").collect()]
     texts += ["", "  a  b\n\n c", "x\x85y\xa0z", "İstanbul ΑΣ", "a\x1cb", "it's we'LL Don't '", "½²ªº 12345 a_b", "<|endoftext|> hi", "日本語", " \n \t", "é ĳ ŉ"]
     library = Tokenizer.from_file(file)
-    library.encode_special_tokens = True
     ids, counts = Encoder(file).encode(texts)
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     assert [list(part) for part in np.split(ids, np.cumsum(counts)[:-1])] == want
@@ -94,7 +93,6 @@ def test_pieces_of_odd_documents(odd):
     rows = packed.collect()
     check_places(rows, 64)
     library = Tokenizer.from_file(WORD)
-    library.encode_special_tokens = True
     want = sorted(
         (row.doc_id or -1, np.array([*library.encode(row.text or "", add_special_tokens=False).ids, 1], "<u4").tobytes()) for row in odd.collect()
     )
@@ -117,7 +115,6 @@ def test_query(spark, data, documents):
     total = sum(row.length for row in rows)
     assert len({row.sequence_id for row in rows}) == -(-total // 4096)
     library = Tokenizer.from_file(WORD)
-    library.encode_special_tokens = True
     texts = {row.doc_id: row.text or "" for row in documents.collect()}
     for row in rows:
         ids = np.array([*library.encode(texts[row.doc_id], add_special_tokens=False).ids, 1], "<u4")[row.start : row.start + row.length]

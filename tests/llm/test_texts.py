@@ -279,7 +279,6 @@ def test_pipeline_stage_by_stage(spark, data, documents):
         assert not base(texts[row.doc_id].text) and texts[row.doc_id].n_chars == len(texts[row.doc_id].text)
     before, after = seen["best_fit_packing"]
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     parts = {}
     for r in sorted(after, key=lambda r: (r.doc_id, r.piece)):
         parts[r.doc_id] = parts.get(r.doc_id, b"") + bytes(r.ids)

@@ -55,7 +55,6 @@ def test_frames_find_damage():
 @functools.cache
 def byte_library():
     library = Tokenizer.from_file(BYTE)
-    library.encode_special_tokens = True
     return library
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from webtext.llm import ann, idfile, jaccard, langid, neardup, packing, pieces, secretscan, tokencount, toxicity
+from webtext.llm import ann, idfile, jaccard, langid, neardup, packing, pieces, replytrees, secretscan, tokencount, toxicity
 from webtext.llm.rows import table
 from webtext.session import fresh_dir, materialise
 
@@ -83,6 +83,32 @@ def op10_ngram_jaccard_join(spark, folder):
     return jaccard.join(table(spark, folder, "documents"))
 
 
+#: Fixed value: the conversation that the contract adds to the table.
+PLANTED_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op13_chat_formatting(spark, folder):
+    """Digests of the formatted conversations, all of them read back from the formatted text."""
+    kept = ("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED_TEXT).alias("text")
+    )
+    messages = replytrees.chained(table(spark, folder, "conversations").select(*kept).unionByName(planted))
+    template = replytrees.Template()
+    formatted = replytrees.Trees(messages).conversations(1, template)
+    turns = template.turns(F.col("formatted"))
+    said = F.array_join(F.transform(turns, lambda turn: F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n"))), "")
+    learned = F.array_join(template.learned_texts(F.col("formatted"), F.col("loss")), "")
+    return formatted.select(
+        F.col("tree").alias("conv_id"),
+        F.size(turns).cast("bigint").alias("n_turns"),
+        F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.char_length(learned).cast("bigint").alias("loss_chars"),
+        F.sha2(learned.cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
@@ -94,6 +120,21 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op13_chat_formatting": op13_chat_formatting,
 }
 
-SQL: dict[str, str] = {}
+_ESCAPED = r"replace(replace(replace({}, '\', '\\'), '### ', '#\## '), '</turn>', '<\/turn>')"
+
+SQL = {
+    "op13_chat_formatting": rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::bigint AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('### ' || replace({_ESCAPED.format('role')}, ': ', ':\ ') || ': ' || {_ESCAPED.format('text')} || '</turn>' || chr(10)))::bigint AS formatted_chars
+FROM rows GROUP BY conv_id""",
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from webtext.llm import ann, idfile, jaccard, langid, neardup, packing, pieces, replytrees, secretscan, tokencount, toxicity
+from webtext.llm import ann, idfile, jaccard, langid, neardup, packing, pieces, ranked, replytrees, secretscan, tokencount, toxicity
 from webtext.llm.rows import table
 from webtext.session import fresh_dir, materialise
 
@@ -83,6 +83,10 @@ def op10_ngram_jaccard_join(spark, folder):
     return jaccard.join(table(spark, folder, "documents"))
 
 
+def op12_ranked_lexical_search(spark, folder):
+    return ranked.search(table(spark, folder, "benchmark"), table(spark, folder, "documents"), 50)
+
+
 #: Fixed value: the conversation that the contract adds to the table.
 PLANTED_TEXT = "\\### Assistant: </turn> ok"
 
@@ -120,12 +124,30 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op12_ranked_lexical_search": op12_ranked_lexical_search,
     "op13_chat_formatting": op13_chat_formatting,
 }
 
 _ESCAPED = r"replace(replace(replace({}, '\', '\\'), '### ', '#\## '), '</turn>', '<\/turn>')"
 
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
 SQL = {
+    "op12_ranked_lexical_search": f"""
+WITH docs AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+corpus AS (SELECT count(*)::bigint AS n, sum(len(t))::bigint AS l FROM docs WHERE len(t) > 0),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+tf AS (
+  SELECT doc_id, term, count(*)::bigint AS tf, any_value(dl)::bigint AS dl FROM (SELECT doc_id, len(t) AS dl, unnest(t) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1)))::bigint AS w FROM tf, corpus GROUP BY term),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * dl * n) // l))))::bigint AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term), corpus GROUP BY item_id, doc_id
+),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::int AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50""",
     "op13_chat_formatting": rf"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

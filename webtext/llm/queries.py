@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from webtext.llm import ann, idfile, jaccard, langid, neardup, packing, pieces, ranked, replytrees, secretscan, tokencount, toxicity
+from webtext.llm import ann, idfile, jaccard, langid, neardup, packing, pieces, ranked, replytrees, secretscan, spelling, tokencount, toxicity
 from webtext.llm.rows import table
 from webtext.session import fresh_dir, materialise
 
@@ -83,6 +83,10 @@ def op10_ngram_jaccard_join(spark, folder):
     return jaccard.join(table(spark, folder, "documents"))
 
 
+def op11_spelling_variant_grouping(spark, folder):
+    return spelling.variants(spelling.vocabulary(table(spark, folder, "documents")))
+
+
 def op12_ranked_lexical_search(spark, folder):
     return ranked.search(table(spark, folder, "benchmark"), table(spark, folder, "documents"), 50)
 
@@ -124,6 +128,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_spelling_variant_grouping": op11_spelling_variant_grouping,
     "op12_ranked_lexical_search": op12_ranked_lexical_search,
     "op13_chat_formatting": op13_chat_formatting,
 }
@@ -132,7 +137,43 @@ _ESCAPED = r"replace(replace(replace({}, '\', '\\'), '### ', '#\## '), '</turn>'
 
 _TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 SQL = {
+    "op11_spelling_variant_grouping": f"""
+WITH RECURSIVE bits AS (
+  SELECT i, 0 AS step, i::bigint AS c FROM range(256) AS r(i)
+  UNION ALL SELECT i, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE step < 8
+),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE step = 8),
+runs AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS c FROM runs GROUP BY doc_id, run),
+bytes AS (
+  SELECT doc_id, run, c, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) AS x FROM counted
+),
+hashed AS (
+  SELECT run, c, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(len(x) // 2), lambda j: ('0x' || substr(x, 2 * j + 1, 2))::bigint)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM bytes, crc
+),
+changed AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed),
+words AS (SELECT word, sum(c)::bigint AS n FROM changed WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+rests AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM words, unnest(range(length(word))) AS r(i)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM rests a JOIN rests b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM rests a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM rests a JOIN words b ON a.rest = b.word
+),
+grouped AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS form, max(near_n) AS form_n FROM pairs GROUP BY word),
+found AS (
+  SELECT word, n, coalesce(n_near, 0)::bigint AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN grouped USING (word)
+),
+chain AS (
+  SELECT word, form AS root, 1 AS step FROM found WHERE form IS NOT NULL
+  UNION ALL SELECT chain.word, found.form, step + 1 FROM chain JOIN found ON found.word = chain.root WHERE found.form IS NOT NULL
+),
+ends AS (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM found LEFT JOIN ends USING (word)""",
     "op12_ranked_lexical_search": f"""
 WITH docs AS (SELECT doc_id, {_TERMS} AS t FROM documents),
 corpus AS (SELECT count(*)::bigint AS n, sum(len(t))::bigint AS l FROM docs WHERE len(t) > 0),

@@ -112,42 +112,39 @@ class Trees:
         self.messages = materialise(single.select("tree", "node", "_m.*"), "tree-messages")
 
     def _climbed(self) -> tuple[list[DataFrame], DataFrame]:
-        """The jumps of each round, and every message with its steps to the root and the score of its path.
+        """The jumps of each round, and every message that reaches a root with its steps there and the score of its path.
 
-        A jump that is still open after as many rounds as the number of messages has digits runs in a cycle.
+        Only messages that are not at a root yet take part in a round. A jump that is still open after as many rounds as the number of messages has digits runs in a cycle.
         """
         known = self.messages.select(F.col("tree").alias("_tree"), F.col("node").alias("_node"), F.col("node").alias("jump"))
         at = _joined(self.messages.select("tree", "node", "parent", "score"), known, "parent", "left")
         at = materialise(at.select("tree", "node", "jump", F.when(F.col("jump").isNull(), 0).otherwise(1).cast("bigint").alias("steps"), "score"), "tree-jumps")
         rounds, most = [], self.messages.count().bit_length()
-        while not at.filter("jump IS NOT NULL").isEmpty():
-            rounds.append(at.filter("jump IS NOT NULL").select("tree", "node", "jump"))
+        reached, open_ = at.filter("jump IS NULL"), at.filter("jump IS NOT NULL")
+        while not open_.isEmpty():
+            rounds.append(open_.select("tree", "node", "jump"))
             if len(rounds) > most:
                 break
-            far = at.select(*(F.col(name).alias(f"_{name}") for name in ("tree", "node", "jump", "steps", "score")))
-            step = _joined(at, far, "jump", "left").select(
-                "tree",
-                "node",
-                F.col("_jump").alias("jump"),
-                (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"),
-                (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"),
+            far = reached.union(open_).select(*(F.col(name).alias(f"_{name}") for name in at.columns))
+            step = _joined(open_, far, "jump").select(
+                "tree", "node", F.col("_jump").alias("jump"), (F.col("steps") + F.col("_steps")).alias("steps"), (F.col("score") + F.col("_score")).alias("score")
             )
-            at = materialise(step, "tree-jumps")
-        return rounds, at
+            step = materialise(step, "tree-jumps")
+            reached, open_ = reached.union(step.filter("jump IS NULL")), step.filter("jump IS NOT NULL")
+        return rounds, reached
 
     def paths(self, branches: int = 1) -> DataFrame:
         """``(tree, leaf, rank, score, node, step)``: the messages, from the root on, of each tree's best branches."""
         rounds, reached = self._climbed()
         parents = self.messages.select(F.col("tree").alias("_tree"), F.col("parent").alias("_node")).filter("_node IS NOT NULL").distinct()
-        leaves = reached.filter("jump IS NULL")
-        leaves = leaves.join(parents, leaves["tree"].eqNullSafe(parents["_tree"]) & (leaves["node"] == parents["_node"]), "left_anti")
+        leaves = reached.join(parents, reached["tree"].eqNullSafe(parents["_tree"]) & (reached["node"] == parents["_node"]), "left_anti")
         best = Window.partitionBy("tree").orderBy(F.desc("score"), F.asc("node"))
         ranked = leaves.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= branches)
         held = materialise(ranked.select("tree", F.col("node").alias("leaf"), "rank", "score", "node", F.col("steps").alias("step")), "tree-paths")
         for k in reversed(range(len(rounds))):
             jumps = rounds[k].select(F.col("tree").alias("_tree"), F.col("node").alias("_node"), "jump")
             above = _joined(held, jumps, "node").select("tree", "leaf", "rank", "score", F.col("jump").alias("node"), F.expr(f"step - {1 << k}L").alias("step"))
-            held = materialise(held.union(above), "tree-paths")
+            held = held.union(materialise(above, "tree-paths"))
         return held
 
     def conversations(self, branches: int = 1, template: Template = Template()) -> DataFrame:

@@ -237,5 +237,6 @@ def search(
     asked = queries.select(F.col(item).cast("bigint").alias("_item"), F.col(query_text).alias("text"))
     result = spark.createDataFrame([], "_item bigint, rank int, _key bigint, score bigint")
     for rows in _blocks(asked):
-        result = result.union(_of_block(spark, chosen, rows, k))
+        if any(terms(row["text"]) for row in rows):
+            result = result.union(_of_block(spark, chosen, rows, k))
     return result.select(F.col("_item").alias(item), "rank", F.col("_key").alias(key), "score")

@@ -11,7 +11,7 @@ from webtext.plans import registry
 # The library's own queries as the entry registers them; those of the llm subpackage have tests of their own.
 QUERIES = {name: query for name, query in contract.queries().items() if name in registry.QUERIES}
 SQL = {name: statement for name, statement in contract.oracle_sql().items() if name in registry.SQL}
-ROWS_ONLY = {"word2vec_vectors", "logreg_predictions"}
+ROWS_ONLY = {"word2vec_vectors", "logreg_predictions", "tfidf_logreg_predictions"}
 
 
 @pytest.fixture(scope="module")

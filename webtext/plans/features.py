@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webtext.functions import clean
-from webtext.operators import classify, metrics, splits, tfidf
+from webtext.operators import classify, cooccurrence, metrics, sparse, splits, tfidf
 from webtext.operators.embedding import WordVectors
 from webtext.plans import sql, text
 from webtext.plans.text import _cleaned, _tokens
@@ -81,18 +81,18 @@ def bow_counts(spark, folder, texts=_cleaned):
     return tfidf.bag_of_words(texts(spark, folder), "doc_id", "clean_text")
 
 
-def _given_vectors(spark, folder, share: int) -> WordVectors:
+def _given_vectors(spark, folder, share: int, tokens=_tokens) -> WordVectors:
     """Vectors for about one in ``share`` words of the documents, picked by hash of the word."""
     vectors = store.table(spark, folder, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
-    words = clean.each_token(_tokens(spark, folder), "tokens", name="word").distinct()
+    words = clean.each_token(tokens(spark, folder), "tokens", name="word").distinct()
     digest = F.conv(F.substring(F.md5("word"), 1, 13), 16, 10).cast("long")
     size = vectors.agg(F.count("*")).scalar()
     keyed = words.withColumn("vec_id", F.pmod(digest, size * share))
     return WordVectors.of(materialise(keyed.join(vectors, "vec_id").select("word", "vector"), "given-vectors"))
 
 
-def mean_embedding(spark, folder):
-    means = _given_vectors(spark, folder, 2).mean(_tokens(spark, folder), "doc_id", F.col("tokens"))
+def mean_embedding(spark, folder, tokens=_tokens):
+    means = _given_vectors(spark, folder, 2, tokens).mean(tokens(spark, folder), "doc_id", F.col("tokens"))
     cells = means.select("doc_id", F.posexplode_outer("vector").alias("dim", "value"))
     return cells.select("doc_id", "dim", F.round("value", 5).alias("value"))
 
@@ -131,6 +131,25 @@ def logreg_predictions(spark, folder):
     )
 
 
+def word_pmi(spark, folder):
+    found = cooccurrence.shifted_pmi(_final_tokens(spark, folder), "tokens", window=2, min_count=5, shift=2.0)
+    return found.select("a", "b", F.round("pmi", 6).alias("pmi"))
+
+
+def pmi_vectors_vocab(spark, folder):
+    """Words with the number of their dimensions; vectors from the final texts, without a model on the driver."""
+    vectors = cooccurrence.train(_final_tokens(spark, folder), "tokens", size=32, window=2, min_count=5, rounds=3)
+    return vectors.table.select("word", F.size("vector").alias("dims"))
+
+
+def tfidf_logreg_predictions(spark, folder, split=_final_split):
+    """Classes of the test half's rows from the sparse TF-IDF matrix of the final texts."""
+    train, test = split(spark, folder)
+    model, cells = tfidf.TfidfModel.fit_transform(train, "doc_id", "clean_text")
+    fitted = sparse.SparseLogisticModel.fit(cells, train.select("doc_id").join(_labels(spark, folder), "doc_id"), "doc_id", "target")
+    return fitted.predict(model.transform(test, "doc_id", "clean_text"), test, "doc_id")
+
+
 def nb_predictions(spark, folder, split=_split):
     train, test = split(spark, folder)
     model = classify.NaiveBayesModel.fit(
@@ -172,6 +191,10 @@ QUERIES = {
     "word2vec_vocab": word2vec_vocab,
     "logreg_predictions": logreg_predictions,
     "nb_predictions": nb_predictions,
+    "word_pmi": word_pmi,
+    "pmi_vectors_vocab": pmi_vectors_vocab,
+    "tfidf_logreg_predictions": tfidf_logreg_predictions,
+    "final_mean_embedding": partial(mean_embedding, tokens=_final_tokens),
     "final_tfidf_vocab": partial(tfidf_vocab, split=_final_split),
     "final_tfidf_train": partial(tfidf_train, split=_final_split),
     "final_tfidf_test": partial(tfidf_test, split=_final_split),
@@ -295,5 +318,26 @@ def _final_sql(name: str) -> str:
 
 SQL |= {
     f"final_{name}": _final_sql(name)
-    for name in ("tfidf_vocab", "tfidf_train", "tfidf_test", "bow_counts", "word2vec_vocab", "nb_predictions")
+    for name in ("tfidf_vocab", "tfidf_train", "tfidf_test", "bow_counts", "word2vec_vocab", "nb_predictions", "mean_embedding")
+}
+
+_FINAL_TOKENS = f"tok AS (SELECT doc_id, {sql.words('final_text')} AS t FROM ({text.SQL['final_text']}))"
+_FREQUENT = "frequent AS (SELECT word FROM (SELECT unnest(t) AS word FROM tok) GROUP BY word HAVING count(*) >= 5)"
+
+SQL |= {
+    "word_pmi": f"""WITH {_FINAL_TOKENS}, {_FREQUENT},
+near AS (
+  SELECT t[i] AS x, t[i + gap] AS y FROM tok, unnest(range(1, len(t) + 1)) AS r(i), (VALUES (1), (2)) AS g(gap) WHERE i + gap <= len(t)
+),
+counted AS (
+  SELECT a, b, count(*) AS n FROM (SELECT x AS a, y AS b FROM near UNION ALL SELECT y, x FROM near)
+  WHERE a IN (FROM frequent) AND b IN (FROM frequent) GROUP BY a, b
+),
+sums AS (SELECT a, sum(n) AS s FROM counted GROUP BY a),
+weighed AS (
+  SELECT counted.a, counted.b, ln(n * (SELECT sum(n) FROM counted)::double / (x.s::double * y.s)) - ln(2.0) AS pmi
+  FROM counted JOIN sums x ON x.a = counted.a JOIN sums y ON y.a = counted.b
+)
+SELECT a, b, round(pmi, 6) AS pmi FROM weighed WHERE pmi > 0""",
+    "pmi_vectors_vocab": f"WITH {_FINAL_TOKENS}, {_FREQUENT} SELECT word, 32 AS dims FROM frequent",
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from webtext.operators import profile, search
+from webtext.operators.index import Index
 from webtext.plans import sql
+from webtext.session import fresh_dir
 from webtext.sources import collections as store
 
 TEXT = "Worthless THING que der the"
@@ -24,6 +26,36 @@ def _term(spark, folder):
     return search.term(store.scan(spark, folder, "documents"), "text", TOKEN, "doc_id")
 
 
+def _index(spark, folder, segments: int = 1):
+    """The documents as a written index, in one or more segments."""
+    index = Index(spark, fresh_dir(spark, "index"))
+    documents = store.scan(spark, folder, "documents")
+    for i in range(segments):
+        index.append(documents.filter(F.pmod("doc_id", F.lit(segments)) == i), "text", "doc_id")
+    return index
+
+
+def indexed_match_bm25(spark, folder):
+    hits = _index(spark, folder).match(TEXT).top()
+    return hits.select(F.col("key").alias("doc_id"), F.round("_score", 4).alias("score"))
+
+
+def indexed_match_total(spark, folder):
+    """Over two segments that are searched as they are."""
+    return _index(spark, folder, 2).match(TEXT).total()
+
+
+def indexed_merged_bm25(spark, folder):
+    """Over segments that were merged."""
+    index = _index(spark, folder, 3)
+    index.merge()
+    return index.match(TEXT).top().select(F.col("key").alias("doc_id"), F.round("_score", 4).alias("score"))
+
+
+def indexed_term_total(spark, folder):
+    return _index(spark, folder).term(TOKEN).total()
+
+
 def _scored(hits):
     return hits.withColumn("score", F.round("_score", 4)).drop("_score")
 
@@ -50,6 +82,10 @@ QUERIES = {
     "term_keyword_total": lambda spark, folder: search.term(
         _documents(spark, folder), "lang", "de", "doc_id", analysed=False
     ).total(),
+    "indexed_match_bm25": indexed_match_bm25,
+    "indexed_match_total": indexed_match_total,
+    "indexed_merged_bm25": indexed_merged_bm25,
+    "indexed_term_total": indexed_term_total,
     "head5": lambda spark, folder: profile.head(_documents(spark, folder), "doc_id"),
 }
 
@@ -96,3 +132,10 @@ SELECT doc_id, lang, round(score, 4) AS score FROM scored JOIN documents USING (
     "term_keyword_total": "SELECT count(*) AS total FROM documents WHERE lang = 'de'",
     "head5": "SELECT * FROM documents ORDER BY doc_id LIMIT 5",
 }
+
+SQL |= {
+    "indexed_match_bm25": SQL["match_bm25"],
+    "indexed_match_total": SQL["match_total"],
+    "indexed_merged_bm25": SQL["match_bm25"],
+    "indexed_term_total": SQL["term_total"],
+}

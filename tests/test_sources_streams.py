@@ -7,7 +7,7 @@ from webtext import session
 from webtext.operators import extract
 from webtext.sources import collections as store
 from webtext.sources import queue
-from webtext.streaming import jobs
+from webtext.streaming import batches, jobs
 
 from test_extract import LISTING, article
 
@@ -86,11 +86,10 @@ def test_crawl_from_listing_to_articles(spark, tmp_path):
     path = {n: str(tmp_path / n) for n in ("listing", "queue", "articles", "ck1", "ck2")}
     spark.createDataFrame([(1, "https://site.test", LISTING)], jobs.PAGE).write.parquet(path["listing"])
     fetched = spark.createDataFrame([("https://site.test/n/1", article())], "url string, html string")
+    store.write_buckets(fetched, str(tmp_path / "held"), "url", 4)
     for _ in range(2):
         jobs.run_once(jobs.discover_cards(jobs.read_pages(spark, path["listing"])), path["queue"], path["ck1"])
-        jobs.run_once(
-            jobs.parse_messages(queue.consume(spark, path["queue"]), fetched, extract.NEWS_SITE), path["articles"], path["ck2"]
-        )
+        batches.run_messages(queue.consume(spark, path["queue"]), str(tmp_path / "held"), 4, path["articles"], path["ck2"], extract.NEWS_SITE)
         rows = {r["url"]: r for r in spark.read.parquet(path["articles"]).collect()}
         assert len(rows) == spark.read.parquet(path["articles"]).count() == 3
     assert rows["https://site.test/n/1"]["content"] == "одиндва"

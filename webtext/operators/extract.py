@@ -193,6 +193,13 @@ def links(pages: DataFrame, keys: tuple[str, ...] = ("page_id", "url"), resolve:
     )
 
 
+def dedupe_links(links: DataFrame, order: tuple[str, ...] = ("page_id", "pos"), link: str = "link") -> DataFrame:
+    """One row per link, the one that is first by ``order``; other columns are those of that row."""
+    others = [name for name in links.columns if name not in (*order, link)]
+    first = links.groupBy(link).agg(F.min(F.struct(*order, *others)).alias("_first"))
+    return first.select(link, *[F.col(f"_first.{name}").alias(name) for name in (*order, *others)])
+
+
 def _tree_cards(profile: TreeProfile):
     card, card_title = profile.card, profile.card_title
     parse_html, select = dom.parse_html, dom.select

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from webtext.operators import profile, search
@@ -56,6 +58,18 @@ def indexed_term_total(spark, folder):
     return _index(spark, folder).term(TOKEN).total()
 
 
+def sharded_articles(spark, folder):
+    """Create a collection of pages with shards, append to it, and join it with one of equal shards by key."""
+    name = uuid.uuid4().hex
+    pages = store.table(spark, folder, "pages").select("page_id", "url")
+    lengths = store.table(spark, folder, "pages").select("page_id", F.length("html").alias("html_chars"))
+    first = F.col("page_id") % 2 == 0
+    store.create_sharded(pages.filter(first), f"pages_{name}", "page_id", 8, fresh_dir(spark, "pages"))
+    store.append_sharded(pages.filter(~first), f"pages_{name}", "page_id", 8)
+    store.create_sharded(lengths, f"lengths_{name}", "page_id", 8, fresh_dir(spark, "lengths"))
+    return spark.table(f"pages_{name}").hint("merge").join(spark.table(f"lengths_{name}"), "page_id")
+
+
 def _scored(hits):
     return hits.withColumn("score", F.round("_score", 4)).drop("_score")
 
@@ -86,6 +100,7 @@ QUERIES = {
     "indexed_match_total": indexed_match_total,
     "indexed_merged_bm25": indexed_merged_bm25,
     "indexed_term_total": indexed_term_total,
+    "sharded_articles": sharded_articles,
     "head5": lambda spark, folder: profile.head(_documents(spark, folder), "doc_id"),
 }
 
@@ -134,6 +149,7 @@ SELECT doc_id, lang, round(score, 4) AS score FROM scored JOIN documents USING (
 }
 
 SQL |= {
+    "sharded_articles": "SELECT page_id, url, length(html)::int AS html_chars FROM pages",
     "indexed_match_bm25": SQL["match_bm25"],
     "indexed_match_total": SQL["match_total"],
     "indexed_merged_bm25": SQL["match_bm25"],

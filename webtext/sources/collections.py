@@ -59,3 +59,42 @@ def scan_all(collections: Mapping[str, DataFrame], prefix: str = "") -> DataFram
     if not chosen:
         raise ValueError(f"no collection has the prefix {prefix!r}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), chosen)
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_buckets(records: DataFrame, path: str, key: str, buckets: int = 64) -> None:
+    """Append records to folders by a hash of their key, sorted by key within a file."""
+    dealt = records.withColumn("bucket", _bucket(key, buckets)).repartition("bucket").sortWithinPartitions("bucket", key)
+    dealt.write.mode("append").partitionBy("bucket").parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str, wanted: DataFrame, key: str, buckets: int = 64) -> DataFrame:
+    """The records of the buckets that keys of ``wanted`` fall in; other folders are not read.
+
+    At most ``buckets`` numbers reach the driver.
+    """
+    numbers = [row[0] for row in wanted.select(_bucket(key, buckets)).distinct().collect()]
+    return spark.read.parquet(path).filter(F.col("bucket").isin(numbers)).drop("bucket")
+
+
+def create_sharded(records: DataFrame, name: str, key: str, shards: int, path: str | None = None) -> None:
+    """Create a table with the records, unless it is there: ``shards`` buckets by key, each sorted by it.
+
+    Joins and aggregations by the key of such tables with equal ``shards`` need no exchange.
+    """
+    spark = records.sparkSession
+    if not spark.catalog.tableExists(name):
+        _sharded(records, key, shards, path).mode("ignore").saveAsTable(name)
+
+
+def append_sharded(records: DataFrame, name: str, key: str, shards: int) -> None:
+    """Append records to a table of :func:`create_sharded`, never an upsert."""
+    _sharded(records, key, shards).mode("append").saveAsTable(name)
+
+
+def _sharded(records: DataFrame, key: str, shards: int, path: str | None = None):
+    writer = records.repartition(shards, key).write.format("parquet").bucketBy(shards, key).sortBy(key)
+    return writer.option("path", path) if path else writer

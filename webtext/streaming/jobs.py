@@ -27,7 +27,7 @@ PAGE = StructType(
 def read_pages(
     spark: SparkSession, folder: str, schema: StructType = PAGE, pattern: str = "*.parquet", files_per_trigger: int = 1000
 ) -> DataFrame:
-    """Fetched pages as a stream of files."""
+    """Fetched pages as a stream of files below ``folder`` whose names fit the pattern."""
     return (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", pattern)
@@ -36,6 +36,15 @@ def read_pages(
     )
 
 
+def read_table(spark: SparkSession, folder: str, name: str, schema: StructType = PAGE, files_per_trigger: int = 1000) -> DataFrame:
+    """The table ``name`` of a folder as a stream, be it one file or a folder of part files."""
+    path = f"{folder}/{name}.parquet"
+    status = spark.read.format("binaryFile").option("pathGlobFilter", f"{name}.parquet").load(folder).select("path")
+    if status.isEmpty():
+        return read_pages(spark, path, schema, "*.parquet", files_per_trigger)
+    return read_pages(spark, folder, schema, f"{name}.parquet", files_per_trigger)
+
+
 def read_lines(
     spark: SparkSession, folder: str, tags: tuple[str, ...] = (), files_per_trigger: int = 1000
 ) -> DataFrame:
@@ -81,19 +90,3 @@ def parse_pages(
 ) -> DataFrame:
     """Fetched pages to article records."""
     return extract.articles(pages, profile, on_error, keys)
-
-
-def parse_messages(
-    messages: DataFrame,
-    pages: DataFrame,
-    profile: extract.PatternProfile | extract.TreeProfile = extract.PLAIN_PAGES,
-    on_error: str = "keep",
-) -> DataFrame:
-    """Link messages ``(url)`` to article records, through a static table of fetched pages.
-
-    A message without a page counts as a failed fetch. Each batch reads the page table, so give
-    few large batches or a table clustered by URL; where pages arrive as files of their own,
-    :func:`parse_pages` needs no join.
-    """
-    fetched = messages.join(pages.select("url", "html"), "url", "left")
-    return extract.articles(fetched, profile, on_error)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from webtext.llm.graph import components
 from webtext.llm.rows import binary_column, slices, texts_of
 from webtext.llm.vectors import sorted_groups
-from webtext.llm.words import Hashed, mix
+from webtext.llm.words import mix, word_hashes
 from webtext.operators.lookup import fits_broadcast
 from webtext.session import materialise
 
@@ -47,27 +47,29 @@ SMALL, CHUNK = 8, 256
 _BUFFER = 2_000_000
 
 _FACTORS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
-_hashed: list[Hashed] = []
+
+
+def _ascending(values: np.ndarray) -> np.ndarray:
+    """Distinct values in ascending order."""
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))]
 
 
 def shingles(texts: list[str]) -> list[np.ndarray]:
     """The set of each text: ascending distinct 64-bit hashes."""
-    if not _hashed:
-        _hashed.append(Hashed())
-    # bytes.lower touches A-Z only and bytes.split takes exactly the six ASCII white spaces.
-    words = [text.encode("utf-8", "surrogatepass").lower().split() for text in texts]
-    hashes = _hashed[0].hash([word for text in words for word in text])
-    counts = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(counts)
+    parts = [text.encode("utf-8", "surrogatepass") for text in texts]
+    begins, hashes = word_hashes(b"\n".join(parts))
+    places = np.cumsum([0, *(len(part) + 1 for part in parts)])
+    bounds = np.searchsorted(begins, places)
     total = np.zeros(max(0, len(hashes) - WIDTH + 1), np.uint64)
     for i in range(WIDTH if len(total) else 0):
         total += hashes[i : i + len(total)] * _FACTORS[i]
     total = mix(total)
     result = []
-    for begin, end in zip((ends - counts).tolist(), ends.tolist()):
+    for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         n = end - begin
         if n >= WIDTH:
-            result.append(np.unique(total[begin : end - WIDTH + 1]))
+            result.append(_ascending(total[begin : end - WIDTH + 1]))
         elif n:
             whole = (hashes[begin:end] * _FACTORS[:n]).sum(dtype=np.uint64) + np.uint64(n)
             result.append(mix(np.array([whole], np.uint64)))
@@ -76,11 +78,16 @@ def shingles(texts: list[str]) -> list[np.ndarray]:
     return result
 
 
-def fingerprint(found: np.ndarray) -> int:
-    """A signed 64-bit number of a set."""
-    mixed = mix(found)
-    value = mix(mixed.sum(dtype=np.uint64, keepdims=True) + mix(np.bitwise_xor.reduce(mixed, keepdims=True)))
-    return int(value.astype(np.int64)[0])
+def fingerprints(sets: list[np.ndarray]) -> list[int | None]:
+    """A signed 64-bit number of each set, None for an empty one."""
+    held = [found for found in sets if len(found)]
+    if not held:
+        return [None] * len(sets)
+    flat = mix(np.concatenate(held))
+    begins = np.cumsum([0, *(len(found) for found in held[:-1])])
+    value = mix(mix(np.add.reduceat(flat, begins)) + mix(np.bitwise_xor.reduceat(flat, begins)))
+    found = iter(value.view(np.int64).tolist())
+    return [next(found) if len(one) else None for one in sets]
 
 
 def sketch(found: np.ndarray) -> bytes:
@@ -161,9 +168,9 @@ class Join:
             hot, done = listed.value, set()
             for part in slices(batches, "text"):
                 nodes, sets = [], []
-                for found in shingles(texts_of(part)):
-                    node = fingerprint(found)
-                    if len(found) and node not in done:  # equal sets of a task give their keys once
+                made = shingles(texts_of(part))
+                for node, found in zip(fingerprints(made), made):
+                    if node is not None and node not in done:  # equal sets of a task give their keys once
                         done.add(node)
                         nodes.append(node)
                         sets.append(found)
@@ -285,7 +292,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for part in slices(batches, "text"):
         sets = shingles(texts_of(part))
-        nodes = [fingerprint(found) if len(found) else None for found in sets]
+        nodes = fingerprints(sets)
         for node, found in zip(nodes, sets):
             if node is not None and node not in done:
                 done.add(node)

@@ -29,19 +29,16 @@ from webtext.session import materialise
 
 _PREFIX = 5
 
-_hashed: dict[str, Hashed] = {}
 
-
-def features(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(text number, bucket)`` of every feature occurrence."""
-    if not _hashed:
-        _hashed["word"], _hashed["prefix"] = Hashed(), Hashed()
+def features(texts: list[str], bits: int, known: tuple[Hashed, Hashed] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``(text number, bucket)`` of every feature occurrence; ``known`` holds the words and prefixes a task has met."""
+    of_words, of_prefixes = known or (Hashed(), Hashed())
     words = [WORD.findall(text.lower()) for text in texts]
     counts = np.fromiter(map(len, words), np.int64, len(words))
     flat = [word for text in words for word in text]
     doc = np.repeat(np.arange(len(texts)), counts)
-    single = _hashed["word"].hash(flat)
-    prefix = _hashed["prefix"].hash([word[:_PREFIX] for word in flat])
+    single = of_words.hash(flat)
+    prefix = of_prefixes.hash([word[:_PREFIX] for word in flat])
     found = [(doc, single), (doc, mix(prefix ^ np.uint64(3)))]
     for gap, sign in ((1, 1), (2, 2)):
         same = doc[:-gap] == doc[gap:]
@@ -104,10 +101,10 @@ class Model:
         schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = model.value
+            own, known = model.value, (Hashed(), Hashed())
             dense = own.dense()
             for part in slices(batches, "text"):
-                scores = own.of(texts_of(part), dense)
+                scores = own.of(texts_of(part), dense, known)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores)], schema=schema)
 
         chosen = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
@@ -118,9 +115,9 @@ class Model:
         model = docs.sparkSession.sparkContext.broadcast(self)
 
         def judge():
-            own = model.value
+            own, known = model.value, (Hashed(), Hashed())
             dense = own.dense()
-            return lambda texts: own.of(texts, dense) < limit
+            return lambda texts: own.of(texts, dense, known) < limit
 
         return kept(docs, text, judge)
 
@@ -129,10 +126,10 @@ class Model:
         weights[self.buckets] = self.weights
         return weights
 
-    def of(self, texts: list[str], dense: np.ndarray) -> np.ndarray:
+    def of(self, texts: list[str], dense: np.ndarray, known: tuple[Hashed, Hashed] | None = None) -> np.ndarray:
         if self.intercept is None:
             return np.zeros(len(texts))
-        doc, bucket = features(texts, self.bits)
+        doc, bucket = features(texts, self.bits, known)
         hit = dense[bucket] != 0
         once = np.unique(doc[hit] * (1 << self.bits) + bucket[hit])
         total = np.bincount(once >> self.bits, dense[once & ((1 << self.bits) - 1)].astype(np.float64), len(texts)) + self.intercept
@@ -155,8 +152,9 @@ def fit(docs: DataFrame, labelled: DataFrame, how: Ftrl = Ftrl(), key: str = "do
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("place", pa.int64()), ("label", pa.int32()), ("buckets", pa.binary())])
+        known = Hashed(), Hashed()
         for part in slices(batches, "text"):
-            doc, bucket = features(texts_of(part), bits)
+            doc, bucket = features(texts_of(part), bits, known)
             once = np.unique((doc << bits) + bucket)
             parts = np.split((once & ((1 << bits) - 1)).astype("<i4"), np.searchsorted(once >> bits, np.arange(1, part.num_rows)))
             rows = [p.tobytes() for p in parts]

@@ -17,6 +17,7 @@ with nothing learnt every text is ``und``.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,7 +31,17 @@ from webtext.llm.rows import kept, slices, texts_of
 from webtext.llm.words import Numbered, mix
 
 BITS = 16
-LETTERS = re.compile(r"[^\W\d_]+")
+# Python's word characters hold numbers beyond decimal digits (½, ², Ⅷ), which are no letters.
+_WORDS = re.compile(r"[^\W\d_]+")
+_NUMBERS = "".join(re.escape(chr(c)) for c in range(0x110000) if chr(c).isnumeric() and unicodedata.category(chr(c))[0] != "L")
+LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+
+
+def letter_words(text: str) -> list[str]:
+    """Runs of letters. The exact pattern is slow, so it is for the few texts in which the plain one finds a number."""
+    words = _WORDS.findall(text)
+    return words if "".join(words).isalpha() else LETTERS.findall(text)
+
 
 # First code points of runs of one script (0: Latin and other, as Unicode blocks lie).
 SCRIPT_STARTS = np.array([0x0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x700, 0x900, 0xE00, 0xE80, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x3040, 0x3100, 0x3400, 0xAC00, 0xD800])
@@ -76,15 +87,18 @@ class Model:
         return chosen.mapInArrow(run, "doc_id bigint, lang_pred string, score double")
 
     def certain(self, docs: DataFrame, least: float, text: str = "text") -> DataFrame:
-        """The rows of ``docs`` with a language that holds at least the share ``least`` of the letters."""
+        """The rows of ``docs`` in which words labelled with any language hold at least the share ``least`` of the letters.
+
+        A text without letters goes; an even mix of known languages stays. A null counts as a text without letters.
+        """
         model = docs.sparkSession.sparkContext.broadcast(self)
 
         def judge():
             labeller = Labeller(model.value)
 
             def decide(texts: list[str]) -> np.ndarray:
-                names, scores = labeller.predict(texts)
-                return (scores >= least) & (np.array(names, dtype=object) != "und")
+                per, total = labeller.letters(texts)
+                return (total > 0) & (per.sum(axis=1) >= least * total)
 
             return decide
 
@@ -140,21 +154,27 @@ class Labeller:
         scores, certain = self._word_scores(words)
         return viterbi(scores, counts, self.model.penalty), certain
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        words = [LETTERS.findall(text.lower()) for text in texts]
+    def letters(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Letters of each text in words of known scripts by language, and all its letters."""
+        words = [letter_words(text.lower()) for text in texts]
         counts = np.fromiter(map(len, words), np.int64, len(words))
         k = len(self.model.languages)
-        if not k or not counts.sum():
-            return ["und"] * len(texts), np.zeros(len(texts))
         flat = [word for text in words for word in text]
-        labels, certain = self.label(flat, counts)
         letters = np.fromiter(map(len, flat), np.int64, len(flat))
         doc = np.repeat(np.arange(len(texts)), counts)
         total = np.bincount(doc, letters, len(texts))
-        per = np.bincount(doc * k + labels, letters * certain, len(texts) * k).reshape(-1, k)
+        if not k or not len(flat):
+            return np.zeros((len(texts), k)), total
+        labels, certain = self.label(flat, counts)
+        return np.bincount(doc * k + labels, letters * certain, len(texts) * k).reshape(-1, k), total
+
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        per, total = self.letters(texts)
+        if not per.size:
+            return ["und"] * len(texts), np.zeros(len(texts))
         best = per.argmax(axis=1)
         scores = per[np.arange(len(texts)), best] / np.maximum(total, 1)
-        return [self.model.languages[b] if n else "und" for b, n in zip(best, counts)], scores
+        return [self.model.languages[b] if n else "und" for b, n in zip(best, total)], scores
 
     def spans(self, texts: list[str]) -> list[list[tuple[int, int, str]]]:
         found = [[(m.start(), m.end(), m.group().lower()) for m in LETTERS.finditer(text)] for text in texts]
@@ -176,33 +196,92 @@ class Labeller:
         return result
 
 
+#: Words of a sequence that are stepped through at once.
+_BLOCK = 64
+
+
+class _Steps:
+    """Forward steps of many sequences of rows of ``scores`` together; the longest come first."""
+
+    def __init__(self, scores: np.ndarray, begins: np.ndarray, sizes: np.ndarray, penalty: float):
+        self.order = np.argsort(-sizes, kind="stable")
+        self.scores, self.begins, self.penalty = scores, begins[self.order], penalty
+        longest = int(sizes.max()) if len(sizes) else 0
+        self.active = np.searchsorted(-sizes[self.order], -np.arange(1, longest + 1), side="right")  # sequences with a row t
+
+    def forward(self, start: np.ndarray, kept: list | None = None) -> np.ndarray:
+        """Best values at each sequence's end for ``start`` values before its first row; ``kept`` takes what the way back needs."""
+        path = (start[self.order] + self.scores[self.begins]).astype(np.float64)
+        for t in range(1, len(self.active)):
+            n = self.active[t]
+            own = path[:n]
+            source = own.argmax(axis=1)
+            jump = own[np.arange(n), source] - self.penalty
+            switch = jump[:, None] > own
+            path[:n] = np.where(switch, jump[:, None], own) + self.scores[self.begins[:n] + t]
+            if kept is not None:
+                kept.append((switch, source))
+        result = np.empty_like(path)
+        result[self.order] = path
+        return result
+
+    def back(self, end: np.ndarray, kept: list, labels: np.ndarray) -> None:
+        """Writes the labels of the sequences that end with the labels ``end``."""
+        state = end[self.order]
+        for t in range(len(self.active) - 1, -1, -1):
+            n = self.active[t]
+            labels[self.begins[:n] + t] = state[:n]
+            if t:
+                switch, source = kept[t - 1]
+                state[:n] = np.where(switch[np.arange(n), state[:n]], source, state[:n])
+
+
 def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarray:
-    """Best label of each row of ``scores`` for sequences of ``counts`` rows; all sequences step together."""
-    order = np.argsort(-counts, kind="stable")
-    sizes = counts[order]
-    begins = (np.cumsum(counts) - counts)[order]
-    longest = int(sizes[0]) if len(sizes) else 0
+    """Best label of each row of ``scores`` for sequences of ``counts`` rows.
+
+    Sequences are cut into blocks, and all blocks step together: the first of a sequence once, any other for every label
+    before it. Then sequences step from block to block, which settles the label before each block, and blocks are labelled.
+    """
+    k = scores.shape[1]
     labels = np.zeros(len(scores), np.int64)
-    if not longest:
+    counts = counts[counts > 0]
+    if not len(counts):
         return labels
-    active = np.searchsorted(-sizes, -np.arange(1, longest + 1), side="right")  # sequences with a row t
-    best_path = scores[begins[: active[0]]].astype(np.float64)
-    jumped, sources = [None], [None]
-    for t in range(1, longest):
-        n = active[t]
-        path = best_path[:n]
-        source = path.argmax(axis=1)
-        jump = path[np.arange(n), source] - penalty
-        switch = jump[:, None] > path
-        best_path[:n] = np.where(switch, jump[:, None], path) + scores[begins[:n] + t]
-        jumped.append(switch)
-        sources.append(source)
-    state = best_path.argmax(axis=1)
-    for t in range(longest - 1, -1, -1):
-        n = active[t]
-        labels[begins[:n] + t] = state[:n]
-        if t:
-            state[:n] = np.where(jumped[t][np.arange(n), state[:n]], sources[t], state[:n])
+    blocks = -(-counts // _BLOCK)
+    of = np.repeat(np.arange(len(counts)), blocks)
+    number = np.arange(len(of)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    begins = (np.cumsum(counts) - counts)[of] + number * _BLOCK
+    sizes = np.minimum(counts[of] - number * _BLOCK, _BLOCK)
+    enter = np.where(np.eye(k, dtype=bool), 0.0, -penalty)
+    first, later = np.flatnonzero(number == 0), np.flatnonzero(number)
+    value = _Steps(scores, begins[first], sizes[first], penalty).forward(np.zeros((len(first), k)))
+    entered, left = np.zeros(len(of), np.int64), np.zeros(len(of), np.int64)
+    if len(later):
+        many = _Steps(scores, np.repeat(begins[later], k), np.repeat(sizes[later], k), penalty)
+        across = np.zeros((len(of), k, k))
+        across[later] = many.forward(np.tile(enter, (len(later), 1))).reshape(-1, k, k)
+        order = np.argsort(-blocks, kind="stable")
+        begin, active = first[order], np.searchsorted(-blocks[order], -np.arange(1, blocks.max() + 1), side="right")
+        value, came = value[order], []
+        for b in range(1, len(active)):
+            n = active[b]
+            sums = value[:n, :, None] + across[begin[:n] + b]
+            came.append(sums.argmax(axis=1))
+            value[:n] = sums.max(axis=1)
+        state = value.argmax(axis=1)
+        for b in range(len(active) - 1, -1, -1):
+            n = active[b]
+            left[begin[:n] + b] = state[:n]
+            if b:
+                state[:n] = came[b - 1][np.arange(n), state[:n]]
+                entered[begin[:n] + b] = state[:n]
+    else:
+        left[first] = value.argmax(axis=1)
+    start = enter[entered]
+    start[first] = 0.0
+    steps, kept = _Steps(scores, begins, sizes, penalty), []
+    steps.forward(start, kept)
+    steps.back(left, kept, labels)
     return labels
 
 
@@ -226,7 +305,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
         for part in slices(batches, "text"):
             words: dict[str, list[str]] = defaultdict(list)
             for value, name in zip(texts_of(part), part.column("lang").to_pylist()):
-                words[name] += LETTERS.findall(value.lower())
+                words[name] += letter_words(value.lower())
             for name, own in words.items():
                 if own:
                     buckets, _, scripts = grams(own)

@@ -40,7 +40,8 @@ def kept(docs: DataFrame, text: str, judge: Callable[[], Callable[[list[str]], n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decide = judge()
-        for part in slices(batches, text):
+        # Stages that filter run one after another in the same workers: smaller slices leave them smaller.
+        for part in slices(batches, text, SLICE_BYTES // 2):
             yield part.filter(pa.array(decide(texts_of(part, text)), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -15,7 +15,7 @@ import unicodedata
 
 import numpy as np
 
-from webtext.llm.rows import ranges
+from webtext.llm.rows import ranges, worker_caches
 
 # Below this code point both sides agree, but for four separators that only Python takes as white space.
 _SAFE_END = 0x100
@@ -135,11 +135,8 @@ class Encoder(WordStore):
         return np.insert(ids, np.cumsum(counts), np.uint32(end_id)), counts + 1
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(file: str) -> Encoder:
     """One encoder per worker process and file; its words stay known from task to task."""
-    if file not in _encoders:
-        _encoders[file] = Encoder(file)
-    return _encoders[file]
+    if (Encoder, file) not in worker_caches:
+        worker_caches[Encoder, file] = Encoder(file)
+    return worker_caches[Encoder, file]

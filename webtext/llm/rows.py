@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 SLICE_BYTES = 2_000_000
 
 
+#: What operators keep in a worker process from task to task. Stages that come before them in a pipeline empty it, so
+#: that the workers, which live on, do not add up the caches of all stages.
+worker_caches: dict[object, object] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -39,6 +44,7 @@ def kept(docs: DataFrame, text: str, judge: Callable[[], Callable[[list[str]], n
     """The rows of ``docs``, with all columns, for which a judge made once per task says True to the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_caches.clear()
         decide = judge()
         # Stages that filter run one after another in the same workers: smaller slices leave them smaller.
         for part in slices(batches, text, SLICE_BYTES // 2):

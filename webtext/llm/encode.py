@@ -15,7 +15,7 @@ import unicodedata
 
 import numpy as np
 
-from webtext.llm.rows import ranges, worker_caches
+from webtext.llm.rows import ranges, tidy, worker_caches
 
 # Below this code point both sides agree, but for four separators that only Python takes as white space.
 _SAFE_END = 0x100
@@ -138,5 +138,6 @@ class Encoder(WordStore):
 def encoder(file: str) -> Encoder:
     """One encoder per worker process and file; its words stay known from task to task."""
     if (Encoder, file) not in worker_caches:
+        tidy()
         worker_caches[Encoder, file] = Encoder(file)
     return worker_caches[Encoder, file]

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from webtext.llm.graph import components
-from webtext.llm.rows import binary_column, slices, texts_of, worker_caches
+from webtext.llm.rows import binary_column, slices, texts_of, tidy, worker_caches
 from webtext.llm.vectors import sorted_groups
 from webtext.llm.words import mix, word_hashes
 from webtext.operators.lookup import fits_broadcast
@@ -278,6 +278,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(doc_id, n, node, null)`` of documents, ``(null, n, null, shingle)`` of shingles frequent within the task."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("sketch", pa.binary()), ("frequent", pa.int64())])
     worker_caches.clear()
+    tidy()
     buffer: list[np.ndarray] = []
     done: set[int] = set()
     held = 0

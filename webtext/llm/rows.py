@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -18,6 +20,15 @@ SLICE_BYTES = 2_000_000
 worker_caches: dict[object, object] = {}
 
 
+def tidy() -> None:
+    """Give freed memory of a worker that has run other tasks back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -45,6 +56,7 @@ def kept(docs: DataFrame, text: str, judge: Callable[[], Callable[[list[str]], n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_caches.clear()
+        tidy()
         decide = judge()
         # Stages that filter run one after another in the same workers: smaller slices leave them smaller.
         for part in slices(batches, text, SLICE_BYTES // 2):

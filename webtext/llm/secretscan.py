@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webtext.llm.rows import slices, texts_of
+from webtext.llm.rows import SLICE_BYTES, slices, texts_of, tidy
 
 LAYER_BYTES = 64 << 20
 OVERLAP = 8 << 20
@@ -285,7 +285,8 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataF
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text):
+        tidy()
+        for part in slices(batches, text, SLICE_BYTES // 2):
             texts = texts_of(part)
             maybe = suspects(texts)
             if maybe.any():

@@ -3,7 +3,8 @@ import html as stdlib
 import pytest
 from pyspark.sql import functions as F
 
-from webtext.functions import dom, html
+from tests import tree as dom
+from webtext.functions import elements, html
 from webtext.operators import extract
 
 LISTING = """
@@ -129,6 +130,61 @@ def test_links_keep_or_resolve_absolute_targets(spark):
     assert extract.links(pages, resolve=True).orderBy(F.desc("pos")).first()["link"] == "https://o.test/y"
 
 
+def test_card_that_the_page_breaks_off_in(spark):
+    markup = LISTING + '<div class="card__inner"><h3>Cut</h3><a href="/n/4">'
+    pages = spark.createDataFrame([("https://site.test", markup)], "url string, html string")
+    rows = extract.cards(pages).orderBy("pos").collect()
+    assert [(r["title"], r["link"], r["error"]) for r in rows[2:]] == [
+        ("Three", "https://site.test", None),
+        (None, None, "unclosed"),
+    ]
+
+
+AWKWARD = [
+    "",
+    "plain",
+    "< 3 <3 a<b",
+    "<ul><li>a<li>b<ul><li>c</ul></ul><table><tr><td>1<td>2<tr><td>3</table><p>x<div>y</div>z",
+    "<div class='a b'><p>1<p>2<div class=b>3</div></div><div class=\"b\">4 &amp;lt; <b>5</i></b></div>",
+    "<div>x<script>if (a<b) '</div>'</script><p class='b'>y</p><!-- <div class=b> --></div><br><hr>",
+    "<dl><dt>a<dd>b<dt class=b>c</dl><p>q</i>r</p><P CLASS='b'>T</P>",
+    "<div title='a>b' class='x b'><i>1</i><img src=x class=b><i>2</i></div></div></p>",
+    "<table><tr><td><p>a</table><div class=b>after<table><td>k</i>m</td></table></div>",
+    "<div class=b><div class=b><div class=b>deep</div></div>",
+]
+
+
+@pytest.mark.parametrize("selector", ["div", ".b", "div.b", "li", "p", "td", "tr", "dt", "i"])
+def test_elements_equal_the_tree(spark, selector):
+    pages = spark.createDataFrame([(i, markup) for i, markup in enumerate(AWKWARD)], "i int, html string")
+    found = F.transform(elements.select(F.col("html"), selector), elements.text).alias("found")
+    inner = F.transform(elements.select(F.col("html"), selector), lambda e: F.size(elements.children(e))).alias("inner")
+    for row in pages.select("i", found, inner).collect():
+        want = dom.select([dom.parse_html(AWKWARD[row["i"]])], selector)
+        assert row["found"] == [e.text() for e in want], AWKWARD[row["i"]]
+        assert row["inner"] == [len(e.children) for e in want], AWKWARD[row["i"]]
+
+
+@pytest.mark.parametrize("path", [("p",), ("ul", 1, 0, 0), ("ul", 7), ("q", 0), (".b", "div", 0), ("table", 0, 1)])
+def test_paths_equal_the_tree(spark, path):
+    pages = spark.createDataFrame([(i, markup) for i, markup in enumerate(AWKWARD)], "i int, html string")
+    found = elements.locate(pages, {"t": path})
+    for row in found.select("i", elements.text(F.col("t")).alias("t")).collect():
+        want = dom.locate(dom.parse_html(AWKWARD[row["i"]]), path)
+        assert row["t"] == (None if want is None else want.text())
+
+
+def test_end_tag_that_closes_nothing(spark):
+    pages = spark.createDataFrame([("<div>a</b>b</section>c</div>",)], "html string")
+    assert pages.select(F.transform(elements.select(F.col("html"), "div"), elements.text)).first()[0] == ["ab c"]
+
+
+def test_no_python_in_the_tree_profile(spark, data):
+    pages = spark.read.parquet(f"{data}/pages.parquet")
+    for frame in (extract.articles(pages, extract.NEWS_SITE), extract.cards(pages)):
+        assert "Python" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_article_lines(spark):
     records = spark.createDataFrame(
         [("t", "u", None, "d", "c", [])], extract.ARTICLE_SCHEMA

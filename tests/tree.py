@@ -1,8 +1,4 @@
-"""A small element tree over the standard library's tokenizer.
-
-Per-row helper for layouts that need positions in the tree (``child 1`` of ``child 8``), which
-regular expressions cannot follow. Spark partitions the pages and ships them in Arrow batches.
-"""
+"""A small element tree over the standard library's tokenizer: what the native elements are compared with."""
 
 from __future__ import annotations
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from webtext.functions.patterns import HTML_RUN
 
 # Named character references the native path decodes, apart from ``&amp;``.
-# The tree builder in ``dom`` decodes all of them.
 NAMED_REFERENCES = {
     "quot": '"',
     "lt": "<",

@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webtext.functions import dom, html
-
-# Python workers get the tree builder inside the task, so the package need not be installed there.
-cloudpickle.register_pickle_by_value(dom)
+from webtext.functions import elements, html
 
 ARTICLE_FIELDS = ["title", "url", "author", "dateTime", "content"]
 
@@ -22,20 +17,6 @@ ARTICLE_SCHEMA = T.StructType(
     + [T.StructField("errors", T.ArrayType(T.StringType()))]
 )
 
-_PARSED = T.StructType(
-    [T.StructField(name, T.StringType()) for name in ("title", "dateTime", "author", "content")]
-    + [T.StructField("errors", T.ArrayType(T.StringType()))]
-)
-_CARDS = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("title", T.StringType()),
-            T.StructField("href", T.StringType()),
-            T.StructField("error", T.StringType()),
-        ]
-    )
-)
-
 
 @dataclass(frozen=True)
 class PatternProfile:
@@ -48,7 +29,7 @@ class PatternProfile:
 
 @dataclass(frozen=True)
 class TreeProfile:
-    """Where the fields are, as paths of selectors and child positions (see ``dom.locate``).
+    """Where the fields are, as paths of selectors and child positions (see ``elements.locate``).
 
     Content is the text of the children of ``content`` that match ``part`` (all if None), joined
     with no separator.
@@ -87,7 +68,6 @@ def _pattern_fields(pages: DataFrame, carried: list[str], profile: PatternProfil
     return stripped.select(
         *carried,
         "_fetched",
-        F.array().cast("array<string>").alias("_errors"),
         *[
             html.normalise_space(html.unescape(F.col(name))).alias(name)
             for name in ("title", "dateTime", "author")
@@ -96,46 +76,29 @@ def _pattern_fields(pages: DataFrame, carried: list[str], profile: PatternProfil
     )
 
 
-def _tree_fields(profile: TreeProfile):
-    date_time, author, content, part = profile.date_time, profile.author, profile.content, profile.part
-    parse_html, locate, select = dom.parse_html, dom.locate, dom.select
-
-    def text_at(root, path):
-        element = None if path is None else locate(root, path)
-        return None if element is None else element.text()
-
-    def parse(markup):
-        root = parse_html(markup)
-        titles = select([root], "title")
-        values = {
-            "title": titles[0].text() if titles else "",
-            "dateTime": text_at(root, date_time),
-            "author": text_at(root, author),
-        }
-        holder = locate(root, content)
-        values["content"] = (
-            None
-            if holder is None
-            else "".join(child.text() for child in holder.children if part is None or child.matches(part))
-        )
-        return values
-
-    @F.pandas_udf(_PARSED)
-    def fields(pages: pd.Series) -> pd.DataFrame:
-        rows = []
-        for markup in pages:
-            row = dict.fromkeys(("title", "dateTime", "author", "content"))
-            errors = []
-            if markup is not None:
-                try:
-                    row.update(parse(markup))
-                except Exception as error:  # one broken page must not end the job
-                    errors.append(f"parse: {error}")
-            row["errors"] = errors
-            rows.append(row)
-        return pd.DataFrame(rows, columns=["title", "dateTime", "author", "content", "errors"])
-
-    return fields
+def _tree_fields(pages: DataFrame, carried: list[str], profile: TreeProfile) -> DataFrame:
+    """The markup of each field first, then its text, so that an element is found once per page."""
+
+    paths = {"title": ("title",), "dateTime": profile.date_time, "author": profile.author, "content": profile.content}
+    source = pages.select(*carried, F.col("html").alias("_html"))
+    located = elements.locate(source, {name: path for name, path in paths.items() if path}, "_html")
+    fetched = F.col("_html").isNotNull()
+    cut = located.select(
+        *carried,
+        fetched.alias("_fetched"),
+        F.when(fetched, F.coalesce("title", F.lit(""))).alias("title"),
+        *[
+            (F.col(name) if paths[name] else F.lit(None).cast("string")).alias(name)
+            for name in ("dateTime", "author", "content")
+        ],
+    )
+    parts = F.transform(elements.children(F.col("content"), profile.part), elements.text)
+    return cut.select(
+        *carried,
+        "_fetched",
+        *[elements.text(F.col(name)).alias(name) for name in ("title", "dateTime", "author")],
+        F.array_join(parts, "").alias("content"),
+    )
 
 
 def articles(
@@ -156,23 +119,12 @@ def articles(
     source = pages.filter(fetched) if on_error == "drop" else pages
     carried = list(dict.fromkeys((*keys, "url")))
 
-    if isinstance(profile, PatternProfile):
-        parsed = _pattern_fields(source, carried, profile)
-    else:
-        parsed = source.select(
-            *carried, fetched.alias("_fetched"), _tree_fields(profile)("html").alias("_page")
-        ).select(
-            *carried,
-            "_fetched",
-            F.col("_page.errors").alias("_errors"),
-            *[F.col(f"_page.{name}").alias(name) for name in ("title", "dateTime", "author", "content")],
-        )
+    fields = _pattern_fields if isinstance(profile, PatternProfile) else _tree_fields
+    parsed = fields(source, carried, profile)
 
     asked = {"title": True, "dateTime": profile.date_time, "author": profile.author, "content": profile.content}
     missing = [F.when(F.col(name).isNull(), F.lit(name)) for name, wanted in asked.items() if wanted]
-    errors = F.when(~F.col("_fetched"), F.array(F.lit("html"))).otherwise(
-        F.concat(F.col("_errors"), F.array_compact(F.array(*missing)))
-    )
+    errors = F.when(~F.col("_fetched"), F.array(F.lit("html"))).otherwise(F.array_compact(F.array(*missing)))
     extra = [key for key in keys if key not in ARTICLE_FIELDS]
     records = parsed.select(*extra, *ARTICLE_FIELDS, errors.alias("errors"))
     return records.filter(F.size("errors") == 0) if on_error == "drop" else records
@@ -200,30 +152,6 @@ def dedupe_links(links: DataFrame, order: tuple[str, ...] = ("page_id", "pos"),
     return first.select(link, *[F.col(f"_first.{name}").alias(name) for name in (*order, *others)])
 
 
-def _tree_cards(profile: TreeProfile):
-    card, card_title = profile.card, profile.card_title
-    parse_html, select = dom.parse_html, dom.select
-
-    def read_card(element):
-        try:
-            title = " ".join(match.text() for match in select([element], card_title))
-            hrefs = [a.attrs["href"] for a in select([element], "a") if "href" in a.attrs]
-            return {"title": title, "href": (hrefs[0] or "") if hrefs else "", "error": None}
-        except Exception as error:  # a bad card is noted, the others go on
-            return {"title": None, "href": None, "error": str(error)}
-
-    @F.pandas_udf(_CARDS)
-    def cards_of(pages: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                None if markup is None else [read_card(e) for e in select([parse_html(markup)], card)]
-                for markup in pages
-            ]
-        )
-
-    return cards_of
-
-
 def cards(
     pages: DataFrame,
     profile: TreeProfile = NEWS_SITE,
@@ -233,14 +161,27 @@ def cards(
 ) -> DataFrame:
     """Cards of a listing page: title, first link that has a target, and the absolute link.
 
-    A card without a link yields the bare site. A card that cannot be read keeps its ``error`` and
-    has no link.
+    A card without a link yields the bare site. A card that the page breaks off in has the ``error``
+    ``unclosed`` and no title or link; the others are not affected.
     """
     site = F.col("url") if site is None else site
+    titles = F.transform(elements.select(F.col("_card.markup"), profile.card_title), elements.text)
+    shown = F.regexp_replace("_card.markup", elements.HIDDEN, "")
     return (
-        pages.select(*keys, site.alias("_site"), F.posexplode_outer(_tree_cards(profile)("html")))
+        pages.select(
+            *keys,
+            site.alias("_site"),
+            F.posexplode_outer(elements.select_marked(F.col("html"), profile.card)).alias("pos", "_card"),
+        )
         .filter(F.col("pos").isNotNull())
-        .select(*keys, "_site", "pos", "col.*")
+        .select(
+            *keys,
+            "_site",
+            "pos",
+            F.when(F.col("_card.closed"), F.array_join(titles, " ")).alias("title"),
+            F.when(F.col("_card.closed"), F.coalesce(F.get(html.hrefs(shown), F.lit(0)), F.lit(""))).alias("href"),
+            F.when(~F.col("_card.closed"), F.lit("unclosed")).alias("error"),
+        )
         .select(
             *keys,
             "pos",
@@ -252,7 +193,11 @@ def cards(
     )
 
 
+#: Fixed value: the layout of an article printed as text.
+LINE_FORMAT = "%s, %s \n%s: %s \n%s"
+
+
 def article_lines(records: DataFrame) -> DataFrame:
     """Records as text blocks; a missing value prints as ``null``."""
     shown = [F.coalesce(F.col(name), F.lit("null")) for name in ("author", "dateTime", "title", "url", "content")]
-    return records.withColumn("line", F.format_string("%s, %s \n%s: %s \n%s", *shown))
+    return records.withColumn("line", F.format_string(LINE_FORMAT, *shown))

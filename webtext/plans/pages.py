@@ -111,6 +111,18 @@ def site_cards(spark, folder):
     return extract.cards(pages, keys=("doc_id",)).select("doc_id", "pos", "title", "href", "link")
 
 
+def site_card_errors(spark, folder):
+    """Listings that break off in a last card: it is noted, the cards before it stay."""
+    pages = store.scan(spark, folder, "documents").select(
+        "doc_id",
+        F.lit("https://site.test").alias("url"),
+        F.concat(_listing(), F.lit('<div class="card__inner"><h3>Cut'), F.col("source")).alias("html"),
+    )
+    return extract.cards(pages, keys=("doc_id",)).groupBy("error").agg(
+        F.count("*").alias("n_cards"), F.count("link").alias("n_links"), F.max("pos").alias("last_pos")
+    )
+
+
 QUERIES = {
     "page_scan": page_scan,
     "page_titles": page_titles,
@@ -123,6 +135,7 @@ QUERIES = {
     "article_lines": article_lines,
     "site_articles": site_articles,
     "site_cards": site_cards,
+    "site_card_errors": site_card_errors,
 }
 
 _TITLE = sql.unescape(sql.one_space("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"))
@@ -172,4 +185,7 @@ SELECT doc_id, 0 AS pos, source AS title, '/n/' || doc_id AS href, 'https://' ||
 FROM documents
 UNION ALL SELECT doc_id, 1, 'Two ' || lang, '/b/' || doc_id, 'https://' || lang || '.test/b/' || doc_id FROM documents
 UNION ALL SELECT doc_id, 2, 'Three', '', 'https://' || lang || '.test' FROM documents""",
+    "site_card_errors": """
+SELECT NULL::varchar AS error, 3 * count(*) AS n_cards, 3 * count(*) AS n_links, 2 AS last_pos FROM documents
+UNION ALL SELECT 'unclosed', count(*), 0, 3 FROM documents""",
 }

@@ -58,7 +58,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _words(names: Iterable[str]) -> Column:
-    return F.array(*[F.lit(name) for name in sorted(set(names))])
+    """A constant array from one literal, which keeps the plan small."""
+    return F.split(F.lit(" ".join(sorted(set(names)))), " ")
+
+
+def _among(tag: Column, names: Iterable[str]) -> Column:
+    return F.array_contains(_words(names), tag)
 
 
 def _closed(stack: Column, tags: list[str], barrier: list[str]) -> Column:
@@ -87,11 +92,11 @@ def _after_start(stack: Column, tag: Column) -> Column:
             kept = open_now
             for group in groups:
                 kept = let(kept, _closing(group, barrier))
-            chain = F.when(tag.isin(tags), kept) if chain is None else chain.when(tag.isin(tags), kept)
+            chain = F.when(_among(tag, tags), kept) if chain is None else chain.when(_among(tag, tags), kept)
         return chain.otherwise(open_now)
 
     without_p = F.when(
-        tag.isin(BLOCK), _closed(stack, ["p"], [name for name in SCOPE if name not in ("ul", "ol", "dl")])
+        _among(tag, BLOCK), _closed(stack, ["p"], [name for name in SCOPE if name not in ("ul", "ol", "dl")])
     ).otherwise(stack)
     return let(without_p, siblings)
 
@@ -101,7 +106,7 @@ def _after_end(stack: Column, tag: Column) -> Column:
 
     def cut(back):
         above = F.slice(stack, F.size(stack) - back + 2, back - 1)
-        blocked = ~tag.isin(SCOPE) & F.arrays_overlap(above, _words(TABLE))
+        blocked = ~_among(tag, SCOPE) & F.arrays_overlap(above, _words(TABLE))
         return F.when((back == 0) | ((back > 1) & blocked), stack).otherwise(F.slice(stack, 1, F.size(stack) - back))
 
     return let(F.array_position(F.reverse(stack), tag).cast("int"), cut)
@@ -121,7 +126,7 @@ def _spans(markup: Column, hit: Callable[[Column, Column], Column], depth: int |
                 F.length(token).alias("n"),
                 tag.alias("tag"),
                 F.startswith(token, F.lit("</")).alias("closes"),
-                (tag.isin(VOID) | (tag.isin("script", "style") & F.contains(token, F.lit("</")))).alias("void"),
+                (_among(tag, VOID) | (_among(tag, ["script", "style"]) & F.contains(token, F.lit("</")))).alias("void"),
                 F.coalesce(opening(token) & hit(tag, token), F.lit(False)).alias("hit"),
             ),
         ),

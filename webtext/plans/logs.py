@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from webtext.functions import logline
-from webtext.operators import logs, retention
+from webtext.operators import bindings, logs, retention
 from webtext.plans import sql
 from webtext.session import fresh_dir
 from webtext.sources import collections as store
@@ -99,6 +99,33 @@ def _messages(spark, folder):
     )
 
 
+def _user_messages(spark, folder):
+    """Events whose source name also has the user, and for some a further word."""
+    audit = F.when(F.col("event_id") % 3 == 0, ".audit").otherwise("")
+    return _events(spark, folder).select(
+        "event_id", F.concat(F.lit("exchange."), "event_type", F.lit(".u"), "user_id", audit).alias("exchange")
+    )
+
+
+def _user_bindings(spark, folder):
+    """A binding for each user, in four forms, and one for each type."""
+    users = _events(spark, folder).select("user_id").distinct()
+    word = F.concat(F.lit("u"), "user_id")
+    form = F.col("user_id") % 4
+    pattern = (
+        F.when(form == 0, F.concat(F.lit("*.*."), word))
+        .when(form == 1, F.concat(F.lit("#."), word))
+        .when(form == 2, F.concat(F.lit("exchange.#."), word, F.lit(".audit")))
+        .otherwise(F.concat(F.lit("#."), word, F.lit(".#")))
+    )
+    types = _events(spark, folder).select(F.concat(F.lit("exchange."), "event_type", F.lit(".#")).alias("pattern")).distinct()
+    return users.select(pattern.alias("pattern")).unionByName(types)
+
+
+def topic_bindings(spark, folder):
+    return bindings.route_bindings(_user_messages(spark, folder), _user_bindings(spark, folder))
+
+
 QUERIES = {
     "log_lines": lambda spark, folder: _parsed(spark, folder).drop("raw"),
     "line_ingest": line_ingest,
@@ -109,6 +136,7 @@ QUERIES = {
     "retention_plan": retention_plan,
     "topic_route": lambda spark, folder: logs.route_topic(_messages(spark, folder), "exchange.*"),
     "topic_route_all": lambda spark, folder: logs.route_topic(_messages(spark, folder), "exchange.#"),
+    "topic_bindings": topic_bindings,
     "key_route": lambda spark, folder: logs.route_key(_messages(spark, folder), "click"),
 }
 
@@ -148,4 +176,17 @@ FROM events WHERE ts::date < timestamp '2024-01-20' - INTERVAL 2 DAY""",
     "topic_route": rf"WITH {_MESSAGES_SQL} SELECT * FROM messages WHERE regexp_matches(exchange, '^exchange\.[^.]+$')",
     "topic_route_all": rf"WITH {_MESSAGES_SQL} SELECT * FROM messages WHERE starts_with(exchange, 'exchange.')",
     "key_route": f"WITH {_MESSAGES_SQL} SELECT * FROM messages WHERE routing_key = 'click'",
+    "topic_bindings": r"""
+WITH m AS (
+  SELECT event_id, user_id, event_type,
+    'exchange.' || event_type || '.u' || user_id || CASE WHEN event_id % 3 = 0 THEN '.audit' ELSE '' END AS exchange FROM events
+),
+u AS (
+  SELECT DISTINCT user_id, 'u' || user_id AS w, CASE user_id % 4 WHEN 0 THEN '*.*.' || w WHEN 1 THEN '#.' || w
+    WHEN 2 THEN 'exchange.#.' || w || '.audit' ELSE '#.' || w || '.#' END AS pattern,
+    CASE user_id % 4 WHEN 0 THEN '[^.]+[.][^.]+[.]' || w WHEN 1 THEN '(.*[.])?' || w
+    WHEN 2 THEN 'exchange[.](.*[.])?' || w || '[.]audit' ELSE '(.*[.])?' || w || '([.].*)?' END AS expression FROM events
+)
+SELECT event_id, exchange, pattern FROM m JOIN u USING (user_id) WHERE regexp_full_match(exchange, expression)
+UNION ALL SELECT event_id, exchange, 'exchange.' || event_type || '.#' FROM m""",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from webtext.operators import profile, search
 from webtext.operators.index import Index
@@ -70,6 +71,24 @@ def sharded_articles(spark, folder):
     return spark.table(f"pages_{name}").hint("merge").join(spark.table(f"lengths_{name}"), "page_id")
 
 
+def multi_scan_typed(spark, folder):
+    """Collections whose ``id`` and ``size`` are numbers of two widths and text; what is no number is rescued."""
+    third = F.col("page_id") % 3 == 0
+    collections = {
+        "log-events": store.table(spark, folder, "events").select(
+            F.col("event_id").alias("id"), (F.col("event_id") % 1000).cast("int").alias("size"), F.col("event_type").alias("kind")
+        ),
+        "log-documents": _documents(spark, folder).select(F.col("doc_id").alias("id"), F.length("text").cast("long").alias("size"), "lang"),
+        "log-pages": store.table(spark, folder, "pages").select(
+            F.when(third, F.concat(F.lit("p"), "page_id")).otherwise(F.col("page_id").cast("string")).alias("id"),
+            F.when(third, F.lit("?")).otherwise(F.length("html").cast("string")).alias("size"),
+        ),
+        "other": store.table(spark, folder, "pages"),
+    }
+    typed = store.scan_typed(collections, "log-", {"id": T.LongType(), "size": T.LongType()})
+    return typed.withColumn("_rescued", F.to_json("_rescued"))
+
+
 def _scored(hits):
     return hits.withColumn("score", F.round("_score", 4)).drop("_score")
 
@@ -101,6 +120,7 @@ QUERIES = {
     "indexed_merged_bm25": indexed_merged_bm25,
     "indexed_term_total": indexed_term_total,
     "sharded_articles": sharded_articles,
+    "multi_scan_typed": multi_scan_typed,
     "head5": lambda spark, folder: profile.head(_documents(spark, folder), "doc_id"),
 }
 
@@ -149,6 +169,11 @@ SELECT doc_id, lang, round(score, 4) AS score FROM scored JOIN documents USING (
 }
 
 SQL |= {
+    "multi_scan_typed": """
+SELECT event_id AS id, event_id % 1000 AS size, event_type AS kind, NULL::varchar AS lang, NULL::varchar AS _rescued, 'log-events' AS _index FROM events
+UNION ALL SELECT doc_id, length(text), NULL, lang, NULL, 'log-documents' FROM documents
+UNION ALL SELECT CASE WHEN page_id % 3 <> 0 THEN page_id END, CASE WHEN page_id % 3 <> 0 THEN length(html) END, NULL, NULL,
+  CASE WHEN page_id % 3 = 0 THEN '{"id":"p' || page_id || '","size":"?"}' END, 'log-pages' FROM pages""",
     "sharded_articles": "SELECT page_id, url, length(html)::int AS html_chars FROM pages",
     "indexed_match_bm25": SQL["match_bm25"],
     "indexed_match_total": SQL["match_total"],

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from webtext.operators.extract import ARTICLE_FIELDS
@@ -61,6 +62,72 @@ def scan_all(collections: Mapping[str, DataFrame], prefix: str = "") -> DataFram
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), chosen)
 
 
+#: Kinds of types; a field that has several kinds becomes text.
+_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+_TIMES = (T.DateType, T.TimestampNTZType, T.TimestampType)
+
+
+def widest(types: Sequence[T.DataType]) -> T.DataType:
+    """The narrowest type that holds all: numbers and times widen in their order, anything else becomes text."""
+    distinct = list(dict.fromkeys(t for t in types if not isinstance(t, T.NullType)))
+    if len(distinct) <= 1:
+        return distinct[0] if distinct else T.StringType()
+    for ladder in (_NUMBERS, _TIMES):
+        if all(isinstance(t, ladder) for t in distinct):
+            return max(distinct, key=lambda t: ladder.index(type(t)))
+    return T.StringType()
+
+
+def _as_text(column: Column, kind: T.DataType) -> Column:
+    nested = isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+    return F.to_json(column) if nested else column.cast("string")
+
+
+def scan_typed(
+    collections: Mapping[str, DataFrame],
+    prefix: str = "",
+    declared: Mapping[str, T.DataType] | None = None,
+    rescued: str = "_rescued",
+) -> DataFrame:
+    """Like :func:`scan_all` for collections whose fields differ in type.
+
+    A field gets its type in ``declared``, else the widest of its types. A value that does not come
+    through unchanged, such as text that is no number or a long number as a double, is NULL in the
+    field and kept as text in the map ``rescued``, which is NULL where all values fit.
+    """
+    chosen = {name: df for name, df in collections.items() if name.startswith(prefix)}
+    if not chosen:
+        raise ValueError(f"no collection has the prefix {prefix!r}")
+    seen: dict[str, list[T.DataType]] = {}
+    for df in chosen.values():
+        for field in df.schema.fields:
+            seen.setdefault(field.name, []).append(field.dataType)
+    wanted = {name: (declared or {}).get(name) or widest(types) for name, types in seen.items()}
+
+    def typed(df: DataFrame) -> DataFrame:
+        values, losses = [], []
+        for field in df.schema.fields:
+            column, target = F.col(f"`{field.name}`"), wanted[field.name]
+            if field.dataType == target:
+                values.append(column)
+                continue
+            if isinstance(target, T.StringType):
+                values.append(_as_text(column, field.dataType).alias(field.name))
+                continue
+            cast = column.try_cast(target)
+            fits = cast.isNotNull()
+            if not isinstance(field.dataType, T.StringType):
+                fits = fits & cast.try_cast(field.dataType).eqNullSafe(column)
+            values.append(F.when(fits, cast).alias(field.name))
+            text = _as_text(column, field.dataType)
+            losses.append(F.when(column.isNotNull() & ~fits, F.struct(F.lit(field.name).alias("key"), text.alias("value"))))
+        lost = F.array_compact(F.array(*losses)) if losses else None
+        kept = F.lit(None) if lost is None else F.when(F.size(lost) > 0, F.map_from_entries(lost))
+        return df.select(*values, kept.cast("map<string,string>").alias(rescued))
+
+    return scan_all({name: typed(df) for name, df in chosen.items()})
+
+
 def _bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 

@@ -14,20 +14,26 @@ from webtext.operators.lookup import lookup, token_counts
 from webtext.operators.tfidf import terms
 from webtext.session import materialise
 
+
 @dataclass(frozen=True)
 class NaiveBayesModel:
-    """One row per known term with a log likelihood per class, and the classes' log priors."""
+    """One row per known term, with a weight for each class that has it; for each class two numbers.
+
+    A class's score of a text is its log prior, its log likelihood of an unseen term for each known
+    token, and the weights of the tokens it has seen.
+    """
 
-    likelihoods: DataFrame
+    weights: DataFrame
     classes: list
     log_priors: list[float]
+    log_unseen: list[float]
 
     @classmethod
     def fit(cls, df: DataFrame, key: str, text: str, label: str, alpha: float = 1.0) -> "NaiveBayesModel":
-        """Add-``alpha`` smoothing of term counts; priors are plain class shares.
+        """Add-``alpha`` smoothing of term counts, ``alpha`` above 0; priors are plain class shares.
 
-        ``df`` holds the label in each row, so nothing is joined. Counts per class are columns of
-        one aggregation over terms, with partial sums before the shuffle.
+        ``df`` holds the label in each row, so nothing is joined. Counts are rows of term and class,
+        with partial sums before the shuffle; only numbers per class reach the driver.
         """
         labelled = df.filter(F.col(label).isNotNull())
         sizes = labelled.groupBy(label).count().orderBy(label).collect()
@@ -37,25 +43,17 @@ class NaiveBayesModel:
 
         carried = labelled.select(key, text, label).withColumn("_row", F.struct(key, label))
         counts = token_counts(carried, "_row", terms(F.col(text)))
-        per_class = counts.groupBy("token").agg(
-            *[
-                F.sum(F.when(F.col(f"_row.{label}") == value, F.col("tf")).otherwise(0)).alias(f"_n{i}")
-                for i, value in enumerate(classes)
-            ]
+        counted = materialise(
+            counts.groupBy("token", F.col(f"_row.{label}").alias("_class")).agg(F.sum("tf").alias("n")), "class-counts"
         )
-        counted = materialise(per_class, "class-counts")
-        # One row: vocabulary size and tokens per class.
-        totals = counted.agg(
-            F.count("*").alias("v"), *[F.sum(f"_n{i}").alias(f"_t{i}") for i in range(len(classes))]
-        ).first()
-        likelihoods = counted.select(
-            "token",
-            *[
-                F.ln((F.col(f"_n{i}") + alpha) / ((totals[f"_t{i}"] or 0) + alpha * totals["v"])).alias(f"_l{i}")
-                for i in range(len(classes))
-            ],
-        )
-        return cls(likelihoods, classes, log_priors)
+        known = counted.select("token").distinct().count()
+        totals = {row["_class"]: row["n"] for row in counted.groupBy("_class").agg(F.sum("n").alias("n")).collect()}
+        log_unseen = [log(alpha / (totals.get(value, 0) + alpha * known)) if known else 0.0 for value in classes]
+        number = F.array_position(F.array(*[F.lit(value) for value in classes]), F.col("_class")).cast("int")
+        entry = F.struct(number.alias("number"), F.ln((F.col("n") + alpha) / alpha).alias("weight"))
+        # A term's group holds one row per class.
+        weights = counted.groupBy("token").agg(F.collect_list(entry).alias("entries"))
+        return cls(weights, classes, log_priors, log_unseen)
 
     def predict(self, df: DataFrame, key: str, text: str) -> DataFrame:
         """Most likely class of each row, the first class on a tie: ``(key, prediction)``.
@@ -63,15 +61,30 @@ class NaiveBayesModel:
         Unknown terms are dropped; a row without known terms gets the most frequent class.
         """
         counts = token_counts(df.select(key, text), key, terms(F.col(text)), outer=True)
-        found = lookup(counts, self.likelihoods, ["token"], key, how="left")
-        scored = found.groupBy(key).agg(
-            *[
-                (F.coalesce(F.sum(F.col("tf") * F.col(f"_l{i}")), F.lit(0.0)) + F.lit(prior)).alias(f"_s{i}")
-                for i, prior in enumerate(self.log_priors)
-            ]
+        found = lookup(counts, self.weights, ["token"], key, how="left")
+        # The first entry of a term also counts the term's tokens.
+        seen = found.select(key, "tf", F.posexplode_outer("entries").alias("_at", "_entry"))
+        per_class = seen.groupBy(key, F.col("_entry.number").alias("number")).agg(
+            F.sum(F.col("tf") * F.col("_entry.weight")).alias("weight"),
+            F.sum(F.when(F.col("_at") == 0, F.col("tf"))).alias("tokens"),
+        )
+        sums = per_class.groupBy(key).agg(
+            F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"),
+            F.map_from_entries(
+                F.collect_list(F.when(F.col("number").isNotNull(), F.struct("number", "weight")))
+            ).alias("weights"),
+        )
+        per_number = F.array(*[F.struct(F.lit(p).alias("prior"), F.lit(u).alias("unseen")) for p, u in zip(self.log_priors, self.log_unseen)])
+        scored = sums.select(
+            key,
+            F.transform(
+                per_number,
+                lambda c, i: c["prior"]
+                + F.col("tokens") * c["unseen"]
+                + F.coalesce(F.try_element_at("weights", i + 1), F.lit(0.0)),
+            ).alias("scores"),
         )
-        scores = F.array(*[F.col(f"_s{i}") for i in range(len(self.classes))])
-        best = F.array_position(scores, F.array_max(scores)).cast("int")
+        best = F.array_position("scores", F.array_max("scores")).cast("int")
         return scored.select(key, F.get(F.array(*[F.lit(c) for c in self.classes]), best - 1).alias("prediction"))
 
 

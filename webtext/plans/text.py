@@ -11,6 +11,7 @@ from webtext.plans import sql
 from webtext.session import materialise
 from webtext.sources import collections as store
 
+# The part-of-speech tags of the class table.
 TAGS = ("С", "Г", "NNS", "Р", "П")
 
 
@@ -126,6 +127,7 @@ _FRAME = f"""frame AS (
 )"""
 _WORDS = sql.words(sql.clean_text("text"))
 _TAG_LIST = ", ".join(sql.quote(tag) for tag in TAGS)
+# Word class by tag, as in the class table.
 _CLASS = "CASE left({0}, 1) WHEN 'П' THEN 'a' WHEN 'Г' THEN 'v' WHEN 'Р' THEN 'r' ELSE 'n' END"
 _TAG = f"([{_TAG_LIST}])[length(x) % {len(TAGS)} + 1]"
 _PLURAL = "length(x) > 3 AND length(x) % 2 = 0 AND suffix(x, 's')"

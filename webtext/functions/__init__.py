@@ -1 +1 @@
-"""Column functions. All run in the JVM, apart from the tree builder in ``dom``."""
+"""Column functions. All run in the JVM."""

@@ -1,13 +1,16 @@
 """Secrets in texts and in what is encoded inside them.
 
 A worklist starts with the text. Each layer is scanned with the base patterns and unwrapped: URL
-escapes, ``\\uXXXX`` and ``\\xXX`` escapes, base64 runs, and compressed data found under base64. What
-comes out is a new layer, unless a layer of the same content from the same place was seen (so cycles
-end, and a blob that stands twice is read at both places), until nothing is left. Every character of a layer knows the code points of the text it comes from, so a find in a
-layer is reported with its place in the text.
+escapes, ``\\uXXXX`` and ``\\xXX`` escapes, base64 runs, also those broken into lines, and compressed
+data found under base64. What comes out is a new layer, unless a layer of the same content from the
+same place was seen (so cycles end, and a blob that stands twice is read at both places), until
+nothing is left. Every character of a layer knows the code points of the text it comes from: its own
+escape, the characters of a base64 run that hold its bits, or the whole run where that is compressed.
+So a find in a layer is reported with its place in the text.
 
 Spans are code points, end exclusive, ordered by start, then kind. Base spans (depth 0) always
-stay; a deeper find with the kind and place of another is not reported twice.
+stay; a deeper find with the kind and place of another is not reported twice. Finds in compressed
+data all have the place of their run; the scan reports each different one as a span of its own.
 
 Defined results: null and empty text have no spans; equal rows are scanned each; decoded bytes that
 are not UTF-8 count as one unknown character each, and what stands between them is scanned; of damaged
@@ -45,6 +48,9 @@ KINDS = ("assign", "access", "hex")
 # Both alphabets in one run. Its separators may also stand before or behind what is encoded; they are 62 and 63,
 # which next to encoded text never decode to a character that a base pattern takes.
 _BASE64 = re.compile(r"([A-Za-z0-9+/_-]{16,})={0,2}")
+# The same over single line ends, with the indent of the next line. Atomic, and from a run's begin only: one pass.
+_BROKEN = re.compile(r"(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++)={0,2}")
+_LINE_END = re.compile(r"[\r\n \t]+")
 # How the first bytes of _MAGIC begin in base64.
 _PACKED = re.compile(r"(?=H4s|e(?:A[E-H]|F[4-7]|J[w-z]|N[o-r])|Qlpo|/Td6WFoA)")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
@@ -73,10 +79,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 class Layer:
-    """A decoded text; ``begin[i]`` and ``end[i]`` bound the root's code points behind character i."""
+    """A decoded text; ``begin[i]`` and ``end[i]`` bound the root's code points behind character i.
 
-    def __init__(self, text: str, begin: np.ndarray, end: np.ndarray, depth: int):
-        self.text, self.begin, self.end, self.depth = text, begin, end, depth
+    In a ``packed`` layer, which was compressed, many characters have one place.
+    """
+
+    def __init__(self, text: str, begin: np.ndarray, end: np.ndarray, depth: int, packed: bool = False):
+        self.text, self.begin, self.end, self.depth, self.packed = text, begin, end, depth, packed
 
     def key(self) -> bytes:
         """Hash of content and origin."""
@@ -94,19 +103,20 @@ class Layer:
         """The layer with every match decoded; None where nothing changes."""
         texts, begins, ends, last = [], [], [], 0
         for match in pattern.finditer(self.text):
-            new = decode(match.group())
+            new, width = decode(match.group())
             if new is None:
                 continue
+            stop = match.start() + np.cumsum(width)
             texts += [self.text[last : match.start()], new]
-            begins += [self.begin[last : match.start()], np.full(len(new), self.begin[match.start()])]
-            ends += [self.end[last : match.start()], np.full(len(new), self.end[match.end() - 1])]
+            begins += [self.begin[last : match.start()], self.begin[stop - width]]
+            ends += [self.end[last : match.start()], self.end[stop - 1]]
             last = match.end()
         if not texts:
             return None
         texts.append(self.text[last:])
         begins.append(self.begin[last:])
         ends.append(self.end[last:])
-        return Layer("".join(texts), np.concatenate(begins), np.concatenate(ends), self.depth + 1)
+        return Layer("".join(texts), np.concatenate(begins), np.concatenate(ends), self.depth + 1, self.packed)
 
     def children(self) -> Iterator[Layer]:
         """One at a time, so that few windows of a large layer are held."""
@@ -118,41 +128,51 @@ class Layer:
     def inner(self) -> Iterator[Layer]:
         """Content of the base64 runs, compressed or not, whatever characters it holds."""
         for match in _BASE64.finditer(self.text):
-            run, last = match[1].replace("-", "+").replace("_", "/"), match.end() - 1
-            packed = [m.start() for m in _PACKED.finditer(run)]
-            # Four characters make three bytes, so what begins within the run is read by one of four phases.
-            for phase in range(4):
-                raw = _from_base64(run[phase:])
-                for at in packed:
-                    if at % 4 == phase:
-                        first = match.start() + at
-                        for data in _unpacked(memoryview(raw)[(at - phase) // 4 * 3 :]):
-                            yield self._within(data, first, last)
-                if _WORTH.search(raw):
-                    text, size = _characters(raw)
-                    at = match.start() + phase
-                    byte = np.cumsum(size) - size
-                    begin = self.begin[at + byte * 4 // 3]
-                    end = self.end[at + (8 * (byte + size - 1) + 7) // 6]
-                    yield Layer(text, begin, end, self.depth + 1)
+            yield from self._decoded(match[1], np.arange(match.start(), match.end()))
+        for match in _BROKEN.finditer(self.text):
+            at = np.arange(match.start(), match.end())
+            breaks = np.concatenate([np.arange(*gap.span()) for gap in _LINE_END.finditer(match.group())])
+            yield from self._decoded(_LINE_END.sub("", match[1]), np.delete(at, breaks))
+
+    def _decoded(self, run: str, at: np.ndarray) -> Iterator[Layer]:
+        """Content of a run whose characters, and padding, stand at the places ``at`` of this layer."""
+        run = run.replace("-", "+").replace("_", "/")
+        packed = [m.start() for m in _PACKED.finditer(run)]
+        # Four characters make three bytes, so what begins within the run is read by one of four phases.
+        for phase in range(4):
+            raw = _from_base64(run[phase:])
+            for first in packed:
+                if first % 4 == phase:
+                    for data in _unpacked(memoryview(raw)[(first - phase) // 4 * 3 :]):
+                        yield self._within(data, at[first], at[-1])
+            if _WORTH.search(raw):
+                text, size = _characters(raw)
+                byte = np.cumsum(size) - size
+                begin = self.begin[at[phase + byte * 4 // 3]]
+                end = self.end[at[phase + (8 * (byte + size - 1) + 7) // 6]]
+                yield Layer(text, begin, end, self.depth + 1, self.packed)
 
     def _within(self, data: bytes, first: int, last: int) -> Layer:
         """A layer of which all characters come from the characters ``first`` to ``last``."""
         text, _ = _characters(data)
-        return Layer(text, np.broadcast_to(self.begin[first], len(text)), np.broadcast_to(self.end[last], len(text)), self.depth + 1)
+        return Layer(text, np.broadcast_to(self.begin[first], len(text)), np.broadcast_to(self.end[last], len(text)), self.depth + 1, True)
 
 
-def _from_url(run: str) -> str:
-    return bytes.fromhex(run.replace("%", "")).decode("utf-8", "replace")
+def _from_url(run: str) -> tuple[str, np.ndarray]:
+    text, size = _characters(bytes.fromhex(run.replace("%", "")))
+    return text, 3 * size
 
 
-def _from_escape(run: str) -> str | None:
+def _from_escape(run: str) -> tuple[str | None, np.ndarray]:
+    """The text and how many characters of the run stand behind each of its characters."""
     if run.startswith("\\x"):
-        return bytes.fromhex(run.replace("\\x", "")).decode("utf-8", "replace")
+        text, size = _characters(bytes.fromhex(run.replace("\\x", "")))
+        return text, 4 * size
     if run.startswith("\\u{"):
         point = int(run[3:-1], 16)
-        return chr(point) if point < 0x110000 and not 0xD800 <= point < 0xE000 else None
-    return bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be", "replace")
+        return chr(point) if point < 0x110000 and not 0xD800 <= point < 0xE000 else None, np.array([len(run)])
+    points = _points(bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be", "surrogatepass"))
+    return _text(points), np.where(points > 0xFFFF, 12, 6)
 
 
 def _from_base64(run: str) -> bytes:
@@ -203,20 +223,27 @@ def _unpacked(raw: memoryview) -> Iterator[bytes]:
         yield bytes(held)
 
 
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _text(points: np.ndarray) -> str:
+    """The text of code points, with an unknown character for each lone surrogate."""
+    return np.where((points >= 0xD800) & (points < 0xE000), np.uint32(0xFFFD), points).tobytes().decode("utf-32-le")
+
+
 def _characters(data: bytes) -> tuple[str, np.ndarray]:
     """The text and the number of bytes behind each character; a byte that is not UTF-8 is one character."""
     if data.isascii():
         return data.decode("ascii"), np.ones(len(data), np.int64)
-    points = np.frombuffer(data.decode("utf-8", "surrogateescape").encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+    points = _points(data.decode("utf-8", "surrogateescape"))
     stray = (points >= 0xD800) & (points < 0xE000)
-    size = np.where(stray, 1, 1 + (points >= 0x80) + (points >= 0x800).astype(np.int64) + (points >= 0x10000))
-    points[stray] = 0xFFFD
-    return points.tobytes().decode("utf-32-le"), size
+    return _text(points), np.where(stray, 1, 1 + (points >= 0x80) + (points >= 0x800).astype(np.int64) + (points >= 0x10000))
 
 
-def find(text: str) -> list[tuple[str, int, int, int]]:
-    """All spans ``(kind, start, end, depth)`` of one text."""
-    found: dict[tuple[int, int, int], int] = {span: 0 for span in base_spans(text)}
+def find(text: str, each: bool = False) -> list[tuple[str, int, int, int]]:
+    """All spans ``(kind, start, end, depth)`` of one text; with ``each``, one for each find of compressed data."""
+    found: dict[tuple[int, int, int, str], int] = {(*span, ""): 0 for span in base_spans(text)}
     seen: set[bytes] = set()
     work = [iter([Layer.root(text)])] if "%" in text or "\\" in text or _BASE64.search(text) else []
     while work:
@@ -230,9 +257,9 @@ def find(text: str) -> list[tuple[str, int, int, int]]:
         if layer.depth:
             for start, kind, end in base_spans(layer.text):
                 place = (int(layer.begin[start:end].min()), kind, int(layer.end[start:end].max()))
-                found.setdefault(place, layer.depth)
+                found.setdefault((*place, layer.text[start:end] if each and layer.packed else ""), layer.depth)
         work.append(layer.children())
-    return [(KINDS[kind], start, end, depth) for (start, kind, end), depth in sorted(found.items())]
+    return [(KINDS[kind], start, end, depth) for (start, kind, end, _), depth in sorted(found.items())]
 
 
 def suspects(texts: list[str]) -> np.ndarray:
@@ -256,7 +283,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         names = ("kind", "start", "end", "depth")
         for part in slices(batches, "text"):
             texts = texts_of(part)
-            spans = [[dict(zip(names, s)) for s in find(t)] if maybe else [] for t, maybe in zip(texts, suspects(texts))]
+            spans = [[dict(zip(names, s)) for s in find(t, each=True)] if maybe else [] for t, maybe in zip(texts, suspects(texts))]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(spans, kind)], names=["doc_id", "spans"])
 
     chosen = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))

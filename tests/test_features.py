@@ -114,6 +114,28 @@ def test_lemmatize(spark, join_mode):
     assert (1, "cat ran cat xyz") in values(untagged, "id", "lemmatized")
 
 
+def test_base_forms_in_the_row_equal_the_join(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+    table = spark.createDataFrame([(w, c, f"{w}{c}") for w in words[::2] for c in "nv"] + [("w2x", "n", None)], "token string, cls string, lemma string")
+    rows = [(i, [*words[i::7], None, "other", "w2x", words[i]], ["С", None, "Г"] * 9, "x") for i in range(40)] + [(98, [], None, "x"), (99, None, [], "x")]
+    df = spark.createDataFrame(rows, "id int, t array<string>, g array<string>, lemma string")
+    for tags in (F.col("g"), None):
+        for forms in (table, table.limit(0)):
+            inside = lemmas.lemmatize(df, "id", F.col("t"), forms, tags)
+            with monkeypatch.context() as m:
+                m.setattr(lemmas, "IN_ROW_BYTES", -1)
+                joined = lemmas.lemmatize(df, "id", F.col("t"), forms, tags)
+            assert inside.count() == 42 and values(inside, "id", "lemmatized") == values(joined, "id", "lemmatized")
+    stems = table.filter("cls = 'n'").select("token", F.col("lemma").alias("stem"))
+    got = lemmas.stem(df, "id", F.col("t"), stems)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # The table is one value beside the rows: no row carries it, and no token is unfolded.
+    assert "_held" not in plan and "Generate" not in plan
+    with monkeypatch.context() as m:
+        m.setattr(lemmas, "IN_ROW_BYTES", -1)
+        assert values(got, "id", "stemmed") == values(lemmas.stem(df, "id", F.col("t"), stems), "id", "stemmed")
+
+
 def test_final_text_and_stems(spark, join_mode):
     df = spark.createDataFrame([(1, "И <b>Кошки</b>, и 7 собак!"), (2, None)], "id int, text string")
     table = spark.createDataFrame([("кошки", "n", "кошка")], "token string, cls string, lemma string")

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from webtext.operators import blocks, embedding
+from webtext import session
+from webtext.operators import blocks, embedding, lemmas
 from webtext.operators.embedding import WordVectors
 
 
@@ -52,3 +53,28 @@ def test_means_of_many_blocks_move_no_token_rows(spark, monkeypatch):
     assert got[1] == pytest.approx([9 / 6, 6 / 6]) and got[None] == pytest.approx([2.0, 1.0])
     plan = means._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "_salt" not in plan
+
+
+def test_a_large_table_of_base_forms_is_met_in_blocks(spark, monkeypatch):
+    """Repeated and NULL keys keep their own rows; a missing class is a noun; no token is unfolded to be put back."""
+    monkeypatch.setattr(lemmas, "IN_ROW_BYTES", -1)
+    monkeypatch.setattr(blocks, "BLOCK_TOKENS", 2)
+    table = spark.createDataFrame([("cats", "n", "cat"), ("ran", "v", "run"), ("x", "n", None)], "token string, cls string, lemma string")
+    rows = [(1, ["cats", None, "ran"], ["С", None, "Г"]), (1, ["ran", "cats"], []), (None, ["x"], ["С"]), (None, None, None), (2, [], [])]
+    df = spark.createDataFrame(rows, "id int, t array<string>, g array<string>")
+    got = lemmas.lemmatize(df, "id", F.col("t"), table, F.col("g"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "cat run"), (1, "ran cat"), (None, "x"), (None, None), (2, "")], key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
+
+
+def test_large_files_are_dealt_out_by_bytes(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "numbers")
+    spark.range(20000).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    monkeypatch.setattr(session, "TASK_BYTES", 4096)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        assert df.rdd.getNumPartitions() < 10 < session.spread(df, path).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from webtext import session
-from webtext.operators import blocks, embedding, lemmas
+from webtext.functions import elements
+from webtext.operators import blocks, cooccurrence, embedding, lemmas
 from webtext.operators.embedding import WordVectors
 
 
@@ -78,3 +79,32 @@ def test_large_files_are_dealt_out_by_bytes(spark, tmp_path, monkeypatch):
         assert df.rdd.getNumPartitions() < 10 < session.spread(df, path).rdd.getNumPartitions()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_product_moves_a_vector_once_to_each_block(spark, monkeypatch):
+    monkeypatch.setattr(cooccurrence, "BLOCK_WEIGHTS", 40)
+    random = np.random.default_rng(1)
+    cells = {(int(a), int(b)): float(x) for a, b, x in zip(random.integers(0, 20, 150), random.integers(0, 20, 150), random.random(150))}
+    weights = spark.createDataFrame([(f"w{a}", f"w{b}", x) for (a, b), x in cells.items()], "a string, b string, pmi double")
+    matrix = random.random((20, 3))
+    factor = spark.createDataFrame([(f"w{i}", v.tolist()) for i, v in enumerate(matrix)], "word string, vector array<double>")
+    rows, needs = cooccurrence._dealt(weights)
+    assert rows.select("_block").distinct().count() > 1
+    got = {r.word: r.vector for r in cooccurrence._product(rows, needs, factor, 3).collect()}
+    assert len(got) == len({a for a, _ in cells})
+    for word, vector in got.items():
+        assert vector == pytest.approx(sum(x * matrix[b] for (a, b), x in cells.items() if f"w{a}" == word))
+
+
+def test_first_selectors_of_all_paths_share_one_pass(spark, monkeypatch):
+    page = "<title>t</title><div class='a b'><p>1<p class='a'>2</div><p>3"
+    df = spark.createDataFrame([(page,), (None,), ("",)], "html string")
+    passes = []
+    spans = elements._spans
+    monkeypatch.setattr(elements, "_spans", lambda *given: passes.append(1) or spans(*given))
+    paths = {"t": ("title",), "a": (".a",), "b": ("div.b",), "p": ("p",), "none": ("h1",), "all": ()}
+    got = elements.locate(df, paths).collect()
+    assert len(passes) == 1
+    box = "<div class='a b'><p>1<p class='a'>2"
+    assert got[0].asDict() == {"html": page, "t": "<title>t", "a": box, "b": box, "p": "<p>1", "none": None, "all": page}
+    assert list(got[1])[1:] == [None] * 6 and list(got[2])[1:] == [None] * 5 + [""]

@@ -6,7 +6,7 @@ is noted as it passes. No Python runs on executors, and a page costs time in pro
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +49,7 @@ CLASS = (
 HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)(?=[\s/>])[^>]*>.*?</\1\s*>"
 SPACING_TAG = rf"(?i)</?(?:{SPACED})(?=[\s/>]){_INSIDE}>"
 
-_FOUND = "array<struct<begin:int,end:int,depth:int>>"
+_FOUND = "array<struct<begin:int,end:int,depth:int,which:int>>"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -112,11 +112,13 @@ def _after_end(stack: Column, tag: Column) -> Column:
     return let(F.array_position(F.reverse(stack), tag).cast("int"), cut)
 
 
-def _spans(markup: Column, hit: Callable[[Column, Column], Column], depth: int | None = None) -> Column:
-    """Where elements begin and end, in page order: those that ``hit(tag name, start tag)``, at ``depth`` if given.
+def _spans(markup: Column, hits: Sequence[Callable[[Column, Column], Column]], depth: int | None = None) -> Column:
+    """Where elements begin and end, in page order: those that one of ``hits(tag name, start tag)``, at ``depth`` if given.
 
-    ``end`` is before the end tag, and NULL where the page ends first.
+    ``which`` is the place of the test in ``hits``; all of them share one pass. ``end`` is before the end tag, and NULL
+    where the page ends first.
     """
+    none = F.array().cast("array<int>")
     opening = lambda token: token.rlike(r"^<[A-Za-z]")
     tokens = F.transform(
         F.regexp_extract_all(markup, F.lit(TOKEN), F.lit(0)),
@@ -127,7 +129,9 @@ def _spans(markup: Column, hit: Callable[[Column, Column], Column], depth: int |
                 tag.alias("tag"),
                 F.startswith(token, F.lit("</")).alias("closes"),
                 (_among(tag, VOID) | (_among(tag, ["script", "style"]) & F.contains(token, F.lit("</")))).alias("void"),
-                F.coalesce(opening(token) & hit(tag, token), F.lit(False)).alias("hit"),
+                F.when(opening(token), F.array_compact(F.array(*[F.when(hit(tag, token), F.lit(i)) for i, hit in enumerate(hits)])))
+                .otherwise(none)
+                .alias("hits"),
             ),
         ),
     )
@@ -151,15 +155,19 @@ def _spans(markup: Column, hit: Callable[[Column, Column], Column], depth: int |
                         f["begin"].alias("begin"),
                         F.when(f["end"].isNull() & (f["depth"] >= level), at).otherwise(f["end"]).alias("end"),
                         f["depth"].alias("depth"),
+                        f["which"].alias("which"),
                     ),
                 ),
             ).otherwise(state["found"])
-            new = F.struct(at.alias("begin"), F.when(token["void"], past).alias("end"), level.alias("depth"))
-            wanted = opens & token["hit"] & (F.lit(True) if depth is None else level == depth)
+            new = F.transform(
+                token["hits"],
+                lambda i: F.struct(at.alias("begin"), F.when(token["void"], past).alias("end"), level.alias("depth"), i.alias("which")),
+            )
+            wanted = opens & (F.size(token["hits"]) > 0) & (F.lit(True) if depth is None else level == depth)
             return F.struct(
                 past.alias("at"),
                 F.when(opens & ~token["void"], F.array_append(kept, tag)).otherwise(kept).alias("stack"),
-                F.when(wanted, F.array_append(ended, new)).otherwise(ended).cast(_FOUND).alias("found"),
+                F.when(wanted, F.concat(ended, new)).otherwise(ended).cast(_FOUND).alias("found"),
             )
 
         moved = let(F.when(opens, _after_start(stack, tag)).otherwise(_after_end(stack, tag)), after)
@@ -192,13 +200,13 @@ def _cut(markup: Column, spans: Column) -> Column:
 
 def select(markup: Column, selector: str) -> Column:
     """Elements that match, nested ones too, as an array of markup without the last end tag."""
-    return _cut(markup, _spans(markup, _matcher(selector)))
+    return _cut(markup, _spans(markup, [_matcher(selector)]))
 
 
 def select_marked(markup: Column, selector: str) -> Column:
     """Like :func:`select`, as ``(markup, closed)``; ``closed`` is false where the page ends inside the element."""
     return F.transform(
-        _spans(markup, _matcher(selector)),
+        _spans(markup, [_matcher(selector)]),
         lambda s: F.struct(
             F.substr(markup, s["begin"] + 1, F.coalesce(s["end"], F.length(markup)) - s["begin"]).alias("markup"),
             s["end"].isNotNull().alias("closed"),
@@ -209,7 +217,7 @@ def select_marked(markup: Column, selector: str) -> Column:
 def children(element: Column, selector: str | None = None) -> Column:
     """Child elements of an element's markup, in order; only those that match, if there is a selector."""
     hit = _matcher(selector) if selector else lambda name, token: F.lit(True)
-    return _cut(element, _spans(element, hit, 1))
+    return _cut(element, _spans(element, [hit], 1))
 
 
 def _selection(selector: str) -> Callable[[Column], Column]:
@@ -220,12 +228,20 @@ def locate(pages: DataFrame, paths: Mapping[str, tuple], markup: str = "html") -
     """Add a column for each path: markup of the first element on a path of selectors and child positions, or NULL.
 
     Selectors narrow the selection; the first number takes the first match, then each number takes
-    that child. Each step is a projection of its own, all paths at once.
+    that child. Each step is a projection of its own, all paths at once; their first selectors share one pass.
     """
+    first = {name: path[0] for name, path in paths.items() if path and isinstance(path[0], str)}
     found = pages.withColumns({name: F.array(markup) for name in paths})
+    if first:
+        spans = _spans(F.col(markup), [_matcher(selector) for selector in first.values()])
+        shared = found.withColumn("_spans", spans)
+        own = lambda k: F.filter("_spans", lambda s: s["which"] == k)
+        found = shared.withColumns({name: _cut(F.col(markup), own(k)) for k, name in enumerate(first)}).drop("_spans")
     for i in range(max(map(len, paths.values()), default=0)):
         steps = {}
         for name, path in paths.items():
+            if i == 0 and name in first:
+                continue
             if i < len(path) and isinstance(path[i], int):
                 steps[name] = F.slice(children(F.get(F.col(name), F.lit(0))), path[i] + 1, 1)
             elif i < len(path):

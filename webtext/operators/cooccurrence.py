@@ -3,7 +3,7 @@
 Words that stand within a window are counted as pairs with partial sums. Positive shifted pointwise mutual
 information weighs them: a sparse symmetric table. Its best approximation of low rank comes from
 alternating least squares. The fixed factor is kept orthonormal, so each half-step is the product of the sparse
-table with the factor: a join and sums per word. The orthonormal form needs the factor's
+table with the factor: weights go in blocks by word, and a vector goes once to each block that needs it. The orthonormal form needs the factor's
 product with itself, ``size * size`` numbers, which tasks sum up in parts.
 """
 
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,9 @@ from webtext.operators.embedding import WordVectors
 from webtext.operators.lookup import lookup
 from webtext.session import materialise
 
+#: Weights of a block on average; a block is held by one task.
+BLOCK_WEIGHTS = 1 << 22
+
 
 def pairs(df: DataFrame, tokens: str, window: int = 5) -> DataFrame:
     """``(a, b, n)``: how often ``b`` stands within ``window`` words of ``a``, before or behind it."""
@@ -101,11 +105,40 @@ def _orthonormal(factor: DataFrame, size: int) -> DataFrame:
     return materialise(factor.mapInArrow(run, "word string, vector array<double>"), "factor")
 
 
-def _product(weights: DataFrame, factor: DataFrame, size: int) -> DataFrame:
-    """The sparse table times the factor: ``(word, vector)``."""
-    found = lookup(weights, factor.select(F.col("word").alias("b"), "vector"), ["b"], "a")
-    sums = ", ".join(f"sum(pmi * get(vector, {i}))" for i in range(size))
-    return materialise(found.groupBy(F.col("a").alias("word")).agg(F.expr(f"array({sums})").alias("vector")), "factor")
+def _dealt(weights: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The weights in blocks by ``a``, and the distinct ``(_in, word)`` whose vectors a block needs."""
+    count = -(-weights.count() // BLOCK_WEIGHTS) or 1
+    rows = weights.withColumn("_block", F.pmod(F.xxhash64("a"), F.lit(count)).cast("int"))
+    needs = rows.select(F.col("_block").alias("_in"), F.col("b").alias("word")).distinct()
+    return rows, materialise(needs, "needed-words")
+
+
+def _product(rows: DataFrame, needs: DataFrame, factor: DataFrame, size: int) -> DataFrame:
+    """The sparse table times the factor: ``(word, vector)``.
+
+    A block has all weights of its words, so its sums are whole, and a vector goes once to each block that needs it.
+    """
+
+    def run(rows: pa.Table, held: pa.Table) -> pa.Table:
+        words = rows["a"].combine_chunks().dictionary_encode()
+        sums = np.zeros((len(words.dictionary), size))
+        # In the order of the names, so that sums do not depend on the order of arrival.
+        places = pc.index_in(rows["b"].combine_chunks(), value_set=held["word"].combine_chunks())
+        order = pc.sort_indices(rows.select(["a", "b"]), [("a", "ascending"), ("b", "ascending")]).to_numpy()
+        # A vector that is not there, as that of a word without weights, counts as zeros.
+        vectors = np.vstack([held["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size), np.zeros((1, size))])
+        at, pmi = places.fill_null(-1).to_numpy(zero_copy_only=False)[order], rows["pmi"].to_numpy()[order]
+        of = words.indices.to_numpy(zero_copy_only=False)[order]
+        for begin in range(0, len(of), 1 << 15):
+            some = slice(begin, begin + (1 << 15))
+            first = np.flatnonzero(np.r_[True, of[some][1:] != of[some][:-1]])
+            sums[of[some][first]] += np.add.reduceat(vectors[at[some]] * pmi[some, None], first)
+        ends = np.arange(len(sums) + 1, dtype=np.int32) * size
+        return pa.table({"word": words.dictionary, "vector": pa.ListArray.from_arrays(pa.array(ends), pa.array(sums.ravel()))})
+
+    held = needs.join(factor, "word")
+    summed = rows.groupBy("_block").cogroup(held.groupBy("_in")).applyInArrow(run, "word string, vector array<double>")
+    return materialise(summed, "factor")
 
 
 def train(
@@ -117,8 +150,9 @@ def train(
     # A start that depends on the word alone.
     start = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.xxhash64("word", i) / F.lit(float(1 << 63)))
     factor = materialise(weights.select(F.col("a").alias("word")).distinct().withColumn("vector", start), "factor")
+    rows, needs = _dealt(weights)
     for _ in range(rounds):
-        factor = _product(weights, _orthonormal(factor, size), size)
+        factor = _product(rows, needs, _orthonormal(factor, size), size)
     words = _words(df, tokens).filter(F.col("n") >= min_count).select("word")
     zeros = F.array_repeat(F.lit(0.0), size)
     table = words.join(factor, "word", "left").select("word", F.coalesce("vector", zeros).alias("vector"))

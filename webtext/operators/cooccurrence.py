@@ -3,8 +3,8 @@
 Words that stand within a window are counted as pairs with partial sums. Positive shifted pointwise mutual
 information weighs them: a sparse symmetric table. Its best approximation of low rank comes from
 alternating least squares. The fixed factor is kept orthonormal, so each half-step is the product of the sparse
-table with the factor: weights go in blocks by word, and a vector goes once to each block that needs it. The orthonormal form needs the factor's
-product with itself, ``size * size`` numbers, which tasks sum up in parts.
+table with the factor: weights go in blocks by word, and a vector goes once to each block that needs it. The
+orthonormal form needs the factor's product with itself, ``size * size`` numbers, which tasks sum up in parts.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from webtext.operators.lookup import lookup
 from webtext.session import materialise
 
 #: Weights of a block on average; a block is held by one task.
-BLOCK_WEIGHTS = 1 << 22
+BLOCK_WEIGHTS = 1 << 19
 
 
 def pairs(df: DataFrame, tokens: str, window: int = 5) -> DataFrame:
@@ -122,13 +122,13 @@ def _product(rows: DataFrame, needs: DataFrame, factor: DataFrame, size: int) ->
     def run(rows: pa.Table, held: pa.Table) -> pa.Table:
         words = rows["a"].combine_chunks().dictionary_encode()
         sums = np.zeros((len(words.dictionary), size))
-        # In the order of the names, so that sums do not depend on the order of arrival.
         places = pc.index_in(rows["b"].combine_chunks(), value_set=held["word"].combine_chunks())
-        order = pc.sort_indices(rows.select(["a", "b"]), [("a", "ascending"), ("b", "ascending")]).to_numpy()
+        of = words.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(of, kind="stable")
         # A vector that is not there, as that of a word without weights, counts as zeros.
         vectors = np.vstack([held["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size), np.zeros((1, size))])
         at, pmi = places.fill_null(-1).to_numpy(zero_copy_only=False)[order], rows["pmi"].to_numpy()[order]
-        of = words.indices.to_numpy(zero_copy_only=False)[order]
+        of = of[order]
         for begin in range(0, len(of), 1 << 15):
             some = slice(begin, begin + (1 << 15))
             first = np.flatnonzero(np.r_[True, of[some][1:] != of[some][:-1]])

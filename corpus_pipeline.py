@@ -42,9 +42,12 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def reject_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the column ``lang`` and drops documents without letters or without a main language."""
+    """Learns from the column ``lang`` and drops documents without letters or without a main language.
+
+    ``lang`` of the others becomes the predicted language, which packing goes by; the given one may be null or wrong.
+    """
     _small_batches(spark)
-    return langid.fit(docs).certain(docs, MAIN_LANGUAGE)
+    return langid.fit(docs).certain(docs, MAIN_LANGUAGE, into="lang")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,9 +64,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the documents, packed into sequences."""
+    """Token ids of the documents, packed into sequences of one language each."""
     _small_batches(spark)
-    return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 1, CAPACITY)
+    return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 1, CAPACITY, by="lang")
 
 
 STAGES = [

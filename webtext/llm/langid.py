@@ -86,23 +86,25 @@ class Model:
         chosen = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
         return chosen.mapInArrow(run, "doc_id bigint, lang_pred string, score double")
 
-    def certain(self, docs: DataFrame, least: float, text: str = "text") -> DataFrame:
+    def certain(self, docs: DataFrame, least: float, text: str = "text", into: str | None = None) -> DataFrame:
         """The rows of ``docs`` in which words labelled with any language hold at least the share ``least`` of the letters.
 
         A text without letters goes; an even mix of known languages stays. A null counts as a text without letters.
+        The text column ``into`` of ``docs``, if named, gets the predicted language.
         """
         model = docs.sparkSession.sparkContext.broadcast(self)
 
         def judge():
             labeller = Labeller(model.value)
 
-            def decide(texts: list[str]) -> np.ndarray:
+            def decide(texts: list[str]):
                 per, total = labeller.letters(texts)
-                return (total > 0) & (per.sum(axis=1) >= least * total)
+                found = (total > 0) & (per.sum(axis=1) >= least * total)
+                return found if into is None else (found, labeller.named(per, total)[0])
 
             return decide
 
-        return kept(docs, text, judge)
+        return kept(docs, text, judge, into)
 
     def spans(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         """``(doc_id, start, end, lang)``: runs of words of one language, in code points, end exclusive."""
@@ -169,11 +171,14 @@ class Labeller:
         return np.bincount(doc * k + labels, letters * certain, len(texts) * k).reshape(-1, k), total
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        per, total = self.letters(texts)
+        return self.named(*self.letters(texts))
+
+    def named(self, per: np.ndarray, total: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """The language of the most letters and its share, from the letters by language and all letters of each text."""
         if not per.size:
-            return ["und"] * len(texts), np.zeros(len(texts))
+            return ["und"] * len(total), np.zeros(len(total))
         best = per.argmax(axis=1)
-        scores = per[np.arange(len(texts)), best] / np.maximum(total, 1)
+        scores = per[np.arange(len(total)), best] / np.maximum(total, 1)
         return [self.model.languages[b] if n else "und" for b, n in zip(best, total)], scores
 
     def spans(self, texts: list[str]) -> list[list[tuple[int, int, str]]]:

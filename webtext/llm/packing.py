@@ -35,12 +35,17 @@ Filling = tuple[int, ...]
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
 
-def cut_documents(docs: DataFrame, file: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def cut_documents(
+    docs: DataFrame, file: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text", by: str | None = None
+) -> DataFrame:
     """Token ids of each document with ``end_id`` at the end, in pieces of at most ``capacity``.
 
-    ``ids`` holds little-endian unsigned 32-bit numbers.
+    ``ids`` holds little-endian unsigned 32-bit numbers. The text column ``by``, if named, is carried.
     """
+    carried = [] if by is None else [by]
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
+    for name in carried:
+        schema = schema.append(pa.field(name, pa.string()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(file)
@@ -57,10 +62,12 @@ def cut_documents(docs: DataFrame, file: str, end_id: int, capacity: int, key: s
                 pa.array(start),
                 pa.array(length),
                 binary_column(ids.astype("<u4"), length),
+                *[part.column(name).take(pa.array(doc)) for name in carried],
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, PIECES)
+    chosen = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"), *[F.col(name).cast("string") for name in carried])
+    return chosen.mapInArrow(cut, ", ".join([PIECES, *[f"`{name}` string" for name in carried]]))
 
 
 class Search:
@@ -258,29 +265,39 @@ def places(kinds: list[tuple[int, Filling]]) -> list[tuple[int, int, int, int, i
     return rows
 
 
-def pack(pieces: DataFrame, capacity: int, ties: tuple[str | Column, ...] = ("doc_id", "piece")) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, ties: tuple[str | Column, ...] = ("doc_id", "piece"), by: str | None = None) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with a column ``length`` (1..capacity).
 
-    ``pieces`` is read twice, so it should be a written table. ``ties`` orders pieces of equal length.
+    ``pieces`` is read twice, so it should be a written table. ``ties`` orders pieces of equal length. A sequence holds
+    pieces of one value of the text column ``by`` only, if named; each value, null too, has a search of its own, so it
+    should be a column of few values, such as a language.
     """
     spark = pieces.sparkSession
     buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bucketed = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*ties), F.lit(buckets)).cast("int"))
-    sizes = materialise(bucketed.groupBy("_bucket", "length").agg(F.count("*").alias("_n")), "packing-counts")
-    counts = {row[0]: row[1] for row in sizes.groupBy("length").agg(F.sum("_n")).collect()}
-    rows = places(Search(counts, capacity).solve())
-    where = spark.createDataFrame(rows, "length bigint, _first bigint, _last bigint, _sequence bigint, _offset bigint, _each int")
+    group = F.lit("") if by is None else F.coalesce(F.concat(F.lit("="), F.col(by)), F.lit(""))
+    bucketed = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*ties), F.lit(buckets)).cast("int")).withColumn("_by", group)
+    sizes = materialise(bucketed.groupBy("_by", "_bucket", "length").agg(F.count("*").alias("_n")), "packing-counts")
+    counts: dict[str, dict[int, int]] = {}
+    for value, length, n in sizes.groupBy("_by", "length").agg(F.sum("_n")).collect():
+        counts.setdefault(value, {})[length] = n
+    rows, begin = [], 0
+    for value in sorted(counts):
+        kinds = Search(counts[value], capacity).solve()
+        rows += [(value, length, first, last, begin + sequence, *rest) for length, first, last, sequence, *rest in places(kinds)]
+        begin += sum(n for n, _ in kinds)
+    where = spark.createDataFrame(rows, "_of string, length bigint, _first bigint, _last bigint, _sequence bigint, _offset bigint, _each int")
     before = sizes.select(
+        "_by",
         "_bucket",
         "length",
-        (F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket")) - F.col("_n")).alias("_before"),
+        (F.sum("_n").over(Window.partitionBy("_by", "length").orderBy("_bucket")) - F.col("_n")).alias("_before"),
     )
-    within = F.row_number().over(Window.partitionBy("_bucket", "length").orderBy(*ties)) - 1
-    ranked = bucketed.withColumn("_within", within).join(before, ["_bucket", "length"])
+    within = F.row_number().over(Window.partitionBy("_by", "_bucket", "length").orderBy(*ties)) - 1
+    ranked = bucketed.withColumn("_within", within).join(before, ["_by", "_bucket", "length"])
     ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_within"))
     placed = ranked.join(
         F.broadcast(where.withColumnRenamed("length", "_length")),
-        (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("_first"), F.col("_last")),
+        (F.col("_by") == F.col("_of")) & (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("_first"), F.col("_last")),
     )
     step = F.col("_rank") - F.col("_first")
     return placed.select(
@@ -290,6 +307,8 @@ def pack(pieces: DataFrame, capacity: int, ties: tuple[str | Column, ...] = ("do
     )
 
 
-def packed_documents(docs: DataFrame, file: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pieces with their ids and their place: the token sequences to train on."""
-    return pack(materialise(cut_documents(docs, file, end_id, capacity, key, text), "pieces"), capacity)
+def packed_documents(
+    docs: DataFrame, file: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text", by: str | None = None
+) -> DataFrame:
+    """Pieces with their ids and their place: the token sequences to train on, each of one value of ``by``, if named."""
+    return pack(materialise(cut_documents(docs, file, end_id, capacity, key, text, by), "pieces"), capacity, by=by)

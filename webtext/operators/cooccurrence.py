@@ -17,55 +17,97 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from webtext.operators import blocks
 from webtext.operators.embedding import WordVectors
 from webtext.operators.lookup import lookup
 from webtext.session import materialise
 
 #: Weights of a block on average; a block is held by one task.
 BLOCK_WEIGHTS = 1 << 19
+#: Tokens whose pairs a task counts at once.
+PAIR_TOKENS = 1 << 21
 
 
 def pairs(df: DataFrame, tokens: str, window: int = 5) -> DataFrame:
-    """``(a, b, n)``: how often ``b`` stands within ``window`` words of ``a``, before or behind it."""
-    token = F.col(tokens)
-    shifted = [
-        F.zip_with(
-            F.slice(token, F.lit(1), F.greatest(F.size(token) - gap, F.lit(0))),
-            F.slice(token, F.lit(1 + gap), F.greatest(F.size(token) - gap, F.lit(0))),
-            lambda x, y: F.when(x.isNotNull() & y.isNotNull(), F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))),
-        )
-        for gap in range(1, window + 1)
-    ]
-    counted = df.filter(token.isNotNull()).select(F.inline_outer(F.concat(*shifted))).filter("a IS NOT NULL AND b IS NOT NULL").groupBy("a", "b").count()
-    # Both orders; a word near itself was met from both sides.
-    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b", (2 * F.col("count")).alias("n")))).otherwise(
-        F.array(F.struct("a", "b", F.col("count").alias("n")), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("count").alias("n")))
+    """``(a, b, n)``: how often ``b`` stands within ``window`` words of ``a``, before or behind it.
+
+    ``tokens`` is a column of arrays, or of text with single spaces between words.
+    """
+    return _both(_half(df, tokens, window), "n")
+
+
+def _half(df: DataFrame, tokens: str, window: int) -> DataFrame:
+    """The pairs with ``a <= b``. A task counts the pairs of some rows by the places of their words, then gives the words."""
+
+    def count(held: list[pa.Array]) -> pa.RecordBatch:
+        lists = pa.concat_arrays(held)
+        coded = lists.flatten().dictionary_encode()
+        order = pc.sort_indices(coded.dictionary)
+        names = coded.dictionary.take(order)
+        place = np.empty(len(names) + 1, np.int64)
+        place[order.to_numpy()], place[-1] = np.arange(len(names)), -1
+        ids = place[coded.indices.fill_null(len(names)).to_numpy(zero_copy_only=False)]
+        of = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False))
+        codes = []
+        for gap in range(1, window + 1):
+            x, y = ids[:-gap], ids[gap:]
+            near = (of[:-gap] == of[gap:]) & (x >= 0) & (y >= 0)
+            x, y = x[near], y[near]
+            codes.append(np.minimum(x, y) * len(names) + np.maximum(x, y))
+        found, n = np.unique(np.concatenate(codes), return_counts=True)
+        columns = [names.take(pa.array(found // max(len(names), 1))), names.take(pa.array(found % max(len(names), 1))), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 512):
+                lists = blocks.lists(batch.column(0).slice(begin, 512))
+                held.append(lists)
+                size += len(lists.flatten())
+                if size >= PAIR_TOKENS:
+                    yield count(held)
+                    held, size = [], 0
+        if held:
+            yield count(held)
+
+    return df.select(tokens).mapInArrow(run, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def _both(half: DataFrame, value: str) -> DataFrame:
+    """Both orders of the pairs; a count of a word near itself is doubled, as it was met from both sides."""
+    one = 2 * F.col("n") if value == "n" else F.col(value)
+    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b", one.alias(value)))).otherwise(
+        F.array(F.struct("a", "b", value), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), value))
     )
-    return counted.select(F.inline(both))
+    return half.select(F.inline(both))
 
 
 def shifted_pmi(df: DataFrame, tokens: str, window: int = 5, min_count: int = 1, shift: float = 1.0) -> DataFrame:
     """``(a, b, pmi)``: ``ln(n(a, b) * n / (n(a) * n(b))) - ln(shift)`` where that is positive.
 
-    Words with fewer than ``min_count`` occurrences are left out of the pairs; the window counts all words.
+    ``tokens`` is as for :func:`pairs`. Words with fewer than ``min_count`` occurrences are left out of the pairs; the window counts all words.
     """
-    counted = pairs(df, tokens, window)
+    counted = _half(df, tokens, window)
     if min_count > 1:
         rare = _words(df, tokens).filter(F.col("n") < min_count).select("word")
         rare = materialise(rare.withColumn("_rare", F.lit(True)), "rare-words")
         for side in ("a", "b"):
             counted = lookup(counted, rare.withColumnRenamed("word", side), [side], "n", how="left").filter("_rare IS NULL").drop("_rare")
     counted = materialise(counted, "word-pairs")
-    sums = materialise(counted.groupBy("a").agg(F.sum("n").alias("_n")), "word-sums")
+    # A word near itself counts twice, once in either order.
+    ends = counted.groupBy("a").agg(F.sum("n").alias("n")).unionByName(counted.groupBy(F.col("b").alias("a")).agg(F.sum("n").alias("n")))
+    sums = materialise(ends.groupBy("a").agg(F.sum("n").alias("_n")), "word-sums")
     total = sums.agg(F.sum("_n").cast("double")).scalar()
     found = lookup(counted, sums.toDF("a", "_na"), ["a"], "b")
     found = lookup(found, sums.toDF("b", "_nb"), ["b"], "a")
-    pmi = F.ln(F.col("n") * total / (F.col("_na").cast("double") * F.col("_nb"))) - F.ln(F.lit(float(shift)))
-    return found.select("a", "b", pmi.alias("pmi")).filter("pmi > 0")
+    met = F.when(F.col("a") == F.col("b"), 2 * F.col("n")).otherwise(F.col("n"))
+    pmi = F.ln(met * total / (F.col("_na").cast("double") * F.col("_nb"))) - F.ln(F.lit(float(shift)))
+    return _both(found.select("a", "b", pmi.alias("pmi")).filter("pmi > 0"), "pmi")
 
 
 def _words(df: DataFrame, tokens: str) -> DataFrame:
-    return df.select(F.explode(tokens).alias("word")).filter("word IS NOT NULL").groupBy("word").agg(F.count("*").alias("n"))
+    return blocks.counted(df, tokens)
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import itertools
+import random
+import time
 import zlib
 
 import numpy as np
@@ -8,7 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from webtext.llm import packing
 from webtext.llm.encode import Encoder
@@ -119,3 +121,31 @@ def test_query(spark, data, documents):
     for row in rows:
         ids = np.array([*library.encode(texts[row.doc_id], add_special_tokens=False).ids, 1], "<u4")[row.start : row.start + row.length]
         assert row.ids_crc32 == zlib.crc32(ids.tobytes())
+
+
+@pytest.mark.parametrize("file", [WORD, BYTE])
+def test_new_words_are_merged_without_the_whole_library(file):
+    """The ids of the library's own way, in less time."""
+    encoder, draw = Encoder(file), random.Random(4)
+    words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(3, 11))) for _ in range(30_000)]
+    words += ["é", "ÿþ", "\xad\xa0\x7f", "\x00\n", "'", "ab3", "ªº"] + ([" a", "  ", " 1", " .;"] if file == BYTE else [])
+    plain = Tokenizer(encoder.whole.model)
+    plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def timed(run):
+        begin = time.process_time()
+        return run(), time.process_time() - begin
+
+    (flat, counts), took = timed(lambda: encoder.encode_words(words))
+    want, whole = timed(lambda: [e.ids for e in plain.encode_batch_fast(words, add_special_tokens=False)])
+    assert [list(part) for part in np.split(flat, np.cumsum(counts)[:-1])] == want
+    assert took < 0.8 * whole
+
+
+def test_a_failed_look_up_leaves_no_numbers(monkeypatch):
+    encoder = Encoder(WORD)
+    encoder.encode(["one two"])
+    with monkeypatch.context() as patch, pytest.raises(MemoryError):
+        patch.setattr(encoder, "encode_words", lambda words: (_ for _ in ()).throw(MemoryError()))
+        encoder.encode(["one three"])
+    assert list(encoder.encode(["three two"])[0]) == encoder.whole.encode("three two", add_special_tokens=False).ids

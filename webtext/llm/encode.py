@@ -1,8 +1,8 @@
 """Token ids by the ``tokenizers`` library, each distinct word encoded once per worker.
 
 Both vocabularies split a text into words before any merge, and a word's ids depend on nothing but
-the word. So a text is split by the vocabulary's own rule, new words go to the library in one
-batch, and known ones are looked up. Texts with characters outside the range in which Python and
+the word. So a text is split by the vocabulary's own rule, new words go to the library's merges, and
+known ones are looked up. Texts with characters outside the range in which Python and
 the library agree on letters and white space go to the library whole, and so do texts with an added
 token of the file (such as ``<|endoftext|>``), which the library takes as one id.
 """
@@ -12,6 +12,8 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from collections import defaultdict
+from itertools import chain, count, islice
 
 import numpy as np
 
@@ -46,29 +48,40 @@ WORD_RULE = rf"{_SHORT}|[{_L}]+|[{_N}]|[^{_SPACE}{_L}{_N}]+"
 
 
 class WordStore:
-    """Ids of words that were met, and a look-up of many at once. Forgets all when it holds ``cached`` words."""
+    """Ids of words that were met, and a look-up of many at once. Of ``cached`` words the half that was used least is dropped."""
 
-    def __init__(self, cached: int = 400_000):
+    def __init__(self, cached: int = 300_000):
         self.cached = cached
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.begins, self.counts = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
+        self.known: dict[str, int] = defaultdict(count().__next__)  # a word that is asked for gets the next number
+        self.begins, self.counts, self.uses = np.zeros(1024, np.int64), np.zeros(1024, np.int32), np.zeros(0, np.int64)
         self.store, self.stored = np.zeros(4096, np.uint32), 0
 
+    def _drop(self) -> None:
+        """Keeps the words that were used most, and counts their uses half from now on."""
+        stay = np.sort(np.argsort(-self.uses, kind="stable")[: self.cached // 2])
+        begins, counts, uses = self.begins[stay], self.counts[stay], self.uses[stay] // 2
+        words = list(islice(self.known, int(stay[-1]) + 1 if len(stay) else 0))
+        store = self.store[ranges(begins, counts)]
+        self._forget()
+        self.known = defaultdict(count(len(stay)).__next__, zip(map(words.__getitem__, stay.tolist()), range(len(stay))))
+        self.begins, self.counts, self.uses = np.cumsum(counts, dtype=np.int64) - counts, counts, uses
+        self.store, self.stored = store, len(store)
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of new words one after another, and the number of ids of each."""
         raise NotImplementedError
 
     def _learn(self, words: list[str]) -> None:
+        """Stores the ids of ``words``, which have the last numbers in this order."""
         flat, counts = self.encode_words(words)
-        first = len(self.known)
-        self.known.update(zip(words, range(first, first + len(words))))
-        while len(self.counts) < len(self.known):
-            self.begins, self.counts = np.resize(self.begins, 2 * len(self.begins)), np.resize(self.counts, 2 * len(self.counts))
-        while len(self.store) < self.stored + len(flat):
-            self.store = np.resize(self.store, 2 * len(self.store))
+        first = len(self.known) - len(words)
+        if len(self.counts) < len(self.known):
+            self.begins, self.counts = (np.resize(x, max(2 * len(x), len(self.known))) for x in (self.begins, self.counts))
+        if len(self.store) < self.stored + len(flat):
+            self.store = np.resize(self.store, max(2 * len(self.store), self.stored + len(flat)))
         self.counts[first : first + len(words)] = counts
         self.begins[first : first + len(words)] = self.stored + np.cumsum(counts) - counts
         self.store[self.stored : self.stored + len(flat)] = flat
@@ -76,38 +89,56 @@ class WordStore:
 
     def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``words`` one after another, and the number of ids of each."""
-        at = list(map(self.known.get, words))
-        if None in at:
-            new = list({word for word, place in zip(words, at) if place is None})
-            if len(self.known) + len(new) > self.cached:
-                self._forget()
-                new = list(set(words))
-            self._learn(new)
+        try:
+            first = len(self.known)
             at = list(map(self.known.__getitem__, words))
+            if len(self.known) > self.cached and first:
+                self._drop()
+                first = len(self.known)
+                at = list(map(self.known.__getitem__, words))
+            new = len(self.known) - first
+            if new:
+                self._learn(list(islice(reversed(self.known), new))[::-1])
+        except BaseException:
+            self._forget()  # numbers without ids must not stay for the next task of this worker
+            raise
         at = np.array(at, np.int64)
+        uses = np.bincount(at, minlength=len(self.known))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         lengths = self.counts[at].astype(np.int64)
         return self.store[ranges(self.begins[at], lengths)], lengths
 
 
+# The characters that stand for bytes in the vocabularies; others follow from U+0100 on.
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SIGNS = {byte: 0x100 + i for i, byte in enumerate(byte for byte in range(0x100) if byte not in set(_PLAIN))}
+
+
+def _signs(word: str) -> str:
+    """The word's UTF-8 bytes as the characters that stand for them."""
+    return word.encode().decode("latin-1").translate(_SIGNS)
+
+
 class Encoder(WordStore):
     """Encodes lists of texts with one vocabulary file: ``byte_bpe_*.json`` or ``word_bpe_*.json``."""
 
     def __init__(self, file: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(file)
         self.added = {token.content for token in self.whole.get_added_tokens_decoder().values()}
-        self.words = Tokenizer(self.whole.model)
-        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.merges = self.whole.model
         self.lower = self.whole.normalizer is not None
         self.split = re.compile(WORD_RULE if self.lower else BYTE_RULE).findall
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.words.encode_batch_fast(words, add_special_tokens=False)]
+        merged = self.merges.tokenize
+        ids = [[token.id for token in merged(word if word.isascii() and word.isalnum() else _signs(word))] for word in words]
         counts = np.fromiter(map(len, ids), np.int32, len(ids))
-        return np.fromiter((i for word in ids for i in word), np.uint32, int(counts.sum())), counts
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum())), counts
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another (uint32) and the number of ids of each text (int64)."""

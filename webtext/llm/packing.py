@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webtext.llm.encode import encoder
-from webtext.llm.rows import binary_column, slices, texts_of
+from webtext.llm.rows import SLICE_BYTES, binary_column, slices, texts_of
 from webtext.session import materialise
 
 Filling = tuple[int, ...]
@@ -49,7 +49,7 @@ def cut_documents(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(file)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES // 2):
             ids, counts = encode.encode_ended(texts_of(part), end_id)
             pieces = -(-counts // capacity)
             doc = np.repeat(np.arange(len(counts)), pieces)

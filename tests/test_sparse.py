@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from webtext.operators import cooccurrence, sparse
 from webtext.plans import features, registry
@@ -63,6 +64,38 @@ def test_fit_equals_a_dense_solver(spark):
     assert {r.id: round(r.probability, 4) for r in scored.collect()} == {k: round(1 / (1 + math.exp(-m)), 4) for k, m in want.items()}
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_round_broadcasts_nothing_and_leaves_the_blocks(spark):
+    rows = [(k, [1.0], [0, 1 + k % 3], [1.0, 2.0]) for k in range(9)]
+    frame = sparse.materialise(spark.createDataFrame(rows, "key bigint, label array<double>, number array<bigint>, value array<double>"), "rows")
+    fit = sparse._Fit.of(frame, 1.0)
+    margins = sparse.materialise(fit.blocks.select("_block", "label", F.transform("label", lambda _: F.lit(0.0)).alias("m")), "margins")
+    state = sparse.materialise(fit.gradient(margins).select("number", F.col("slope").alias("d")), "state")
+    assert {r.number: r.d for r in state.collect()} == {0: -4.5, 1: -3.0, 2: -3.0, 3: -3.0}
+    assert [m for r in fit.along(margins, state).collect() for m in r.md] == [-10.5] * 9
+    for plan in (plan_of(fit.along(margins, state)), plan_of(fit.gradient(margins))):
+        assert "Broadcast" not in plan and "Bucketed: true" in plan
+
+
+def test_repeated_and_null_keys(spark):
+    """A key that stands twice is two rows with twice the cells; a null key takes no part."""
+    cells = [(1, "a", 1.0), (2, "b", 1.0), (3, "a", 0.5), (None, "a", 9.0)]
+    labels = [(1, 1), (1, 1), (2, 0), (3, 0), (None, 1)]
+    frames = spark.createDataFrame(cells, "id bigint, term string, value double"), spark.createDataFrame(labels, "id bigint, y int")
+    model = sparse.SparseLogisticModel.fit(*frames, "id", "y", tolerance=1e-4)
+    x, y = np.array([[2, 0, 2.0], [2, 0, 2], [0, 1, 1], [0.5, 0, 1]]), np.array([1, 1, 0, 0])
+    w = np.zeros(3)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ w))
+        penal = np.diag([1, 1, 1e-12])
+        w = w - np.linalg.solve((x.T * (p * (1 - p))) @ x + penal, x.T @ (p - y) + penal @ w)
+    got = {r.term: r.weight for r in model.weights.collect()}
+    assert np.allclose([got["a"], got["b"], model.intercept], w, atol=2e-3)
+
+
 def test_no_labels_and_no_cells(spark):
     none = spark.createDataFrame([], "id bigint, term string, value double")
     model = sparse.SparseLogisticModel.fit(none, spark.createDataFrame([], "id bigint, y int"), "id", "y")

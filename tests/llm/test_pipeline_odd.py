@@ -7,6 +7,9 @@ import shutil
 import corpus_pipeline
 from pyspark.sql import functions as F
 
+from webtext.llm import langid, toxicity
+from webtext.llm.rows import worker_caches
+
 
 def _folder(tmp_path, data, docs):
     folder = tmp_path / "tables"
@@ -41,3 +44,17 @@ def test_odd_rows(spark, data, tmp_path):
     assert len(places) == len(set(places)) and max(kept) in found
     # A long text of repetitions has few more shingles than the text itself, so it may be one of its copies.
     assert found - {90_005} <= {r.doc_id for r in docs.collect()} and len(found - {90_005}) >= 0.9 * len(kept)
+
+
+def test_fits_empty_what_workers_keep(spark, data, monkeypatch):
+    """A fit's tasks may run in workers that hold the caches of the stages of an earlier run."""
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    tasks, mapped = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, *more: (tasks.append(run), mapped(self, run, *more))[1])
+    toxicity.fit(docs, spark.read.parquet(f"{data}/labels.parquet"))
+    langid.fit(docs)
+    assert len(tasks) == 3
+    for run in tasks:
+        worker_caches["earlier"] = object()
+        list(run(iter(())))
+        assert not worker_caches

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webtext.llm.rows import kept, slices, texts_of
+from webtext.llm.rows import emptied, kept, slices, texts_of
 from webtext.llm.words import Numbered, mix
 
 BITS = 16
@@ -306,6 +306,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        emptied()
         per: dict[str, np.ndarray] = defaultdict(lambda: np.zeros((1 << BITS) + len(SCRIPT_NAMES), np.int64))
         for part in slices(batches, "text"):
             words: dict[str, list[str]] = defaultdict(list)

@@ -29,6 +29,12 @@ def tidy() -> None:
         trim(0)
 
 
+def emptied() -> None:
+    """At the begin of a task of another operator: drop what the worker keeps, and give its memory back."""
+    worker_caches.clear()
+    tidy()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -58,8 +64,7 @@ def kept(docs: DataFrame, text: str, judge: Callable[[], Callable[[list[str]], n
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_caches.clear()
-        tidy()
+        emptied()
         decide = judge()
         # Stages that filter run one after another in the same workers: smaller slices leave them smaller.
         for part in slices(batches, text, SLICE_BYTES // 2):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webtext.llm.rows import kept, slices, texts_of
+from webtext.llm.rows import SLICE_BYTES, emptied, kept, slices, texts_of
 from webtext.llm.words import WORD, Hashed, mix
 from webtext.session import materialise
 
@@ -152,8 +152,9 @@ def fit(docs: DataFrame, labelled: DataFrame, how: Ftrl = Ftrl(), key: str = "do
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("place", pa.int64()), ("label", pa.int32()), ("buckets", pa.binary())])
+        emptied()  # the worker may come from another operator
         known = Hashed(), Hashed()
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES // 2):
             doc, bucket = features(texts_of(part), bits, known)
             once = np.unique((doc << bits) + bucket)
             parts = np.split((once & ((1 << bits) - 1)).astype("<i4"), np.searchsorted(once >> bits, np.arange(1, part.num_rows)))
@@ -161,6 +162,7 @@ def fit(docs: DataFrame, labelled: DataFrame, how: Ftrl = Ftrl(), key: str = "do
             yield pa.RecordBatch.from_arrays([part.column("place"), part.column("label"), pa.array(rows, pa.binary())], schema=schema)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        emptied()
         examples, labels = [], []
         for batch in batches:
             examples += [np.frombuffer(b, "<i4") for b in batch.column("buckets").to_pylist()]

@@ -5,6 +5,9 @@ the word. So a text is split by the vocabulary's own rule, new words go to the l
 known ones are looked up. Texts with characters outside the range in which Python and
 the library agree on letters and white space go to the library whole, and so do texts with an added
 token of the file (such as ``<|endoftext|>``), which the library takes as one id.
+
+The byte vocabulary's words are the whole text, one after another, so they are cut with array
+operations over all texts at hand, and only the distinct ones become Python strings.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from collections import defaultdict
 from itertools import chain, count, islice
 
 import numpy as np
+import pyarrow as pa
 
 from webtext.llm.rows import ranges, tidy, worker_caches
 
@@ -39,13 +43,44 @@ def _letters(kinds: str) -> str:
     return "".join(re.escape(c) for c in found)
 
 
-# The two vocabularies' rules for splitting a text into words.
+# The two vocabularies' rules for splitting a text into words (byte_words follows BYTE_RULE).
 _SPACE = "\t-\r\x20\x85\xa0"
 _SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
 _L, _N = _letters("L"), _letters("N")
 BYTE_RULE = rf"{_SHORT}| ?[{_L}]+| ?[{_N}]+| ?[^{_SPACE}{_L}{_N}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 WORD_RULE = rf"{_SHORT}|[{_L}]+|[{_N}]|[^{_SPACE}{_L}{_N}]+"
 
+# What a code point below _SAFE_END is to BYTE_RULE: letter 1, number 2, white space 3, other 0.
+_KINDS = bytes(
+    3 if re.match(f"[{_SPACE}]", chr(c)) else {"L": 1, "N": 2}.get(unicodedata.category(chr(c))[0], 0) for c in range(_SAFE_END)
+)
+
+
+def byte_words(data: bytes, starts: np.ndarray) -> np.ndarray:
+    """Where the words of BYTE_RULE begin in texts of one byte per code point, which lie one after another from ``starts`` on.
+
+    No text is empty.
+    """
+    points, kind = np.frombuffer(data, np.uint8), np.frombuffer(data.translate(_KINDS), np.uint8)
+    space = kind == 3
+    begin = np.empty(len(points), bool)
+    begin[1:] = (kind[1:] != kind[:-1]) & (points[:-1] != 32)  # a blank goes with the word behind it
+    last = space[:-1] & ~space[1:]  # of white space in front of a word, the last one stands alone or goes with it
+    last[starts[1:] - 1] = False
+    begin[:-1] |= last
+    begin[starts] = True
+    quotes = np.flatnonzero(points == 39)
+    quotes = quotes[begin[quotes]]
+    if len(quotes):
+        limits = np.append(starts, len(points))[np.searchsorted(starts, quotes, side="right")]
+        one, two = (np.where(quotes + i < limits, points.take(quotes + i, mode="clip"), 0) for i in (1, 2))
+        short = np.isin(one, list(b"stmd"))
+        long = np.isin(one.astype(np.int64) * 256 + two, [int.from_bytes(pair) for pair in (b"re", b"ve", b"ll")])
+        begin[quotes[short | long] + 1] = False
+        behind = quotes + 2 + long
+        begin[behind[(short | long) & (behind < limits)]] = True
+    return np.flatnonzero(begin)
+
 
 class WordStore:
     """Ids of words that were met, and a look-up of many at once. Of ``cached`` words the half that was used least is dropped."""
@@ -113,18 +148,21 @@ class WordStore:
 # The characters that stand for bytes in the vocabularies; others follow from U+0100 on.
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _SIGNS = {byte: 0x100 + i for i, byte in enumerate(byte for byte in range(0x100) if byte not in set(_PLAIN))}
+_BLANK = chr(_SIGNS[32])
 
 
 def _signs(word: str) -> str:
     """The word's UTF-8 bytes as the characters that stand for them."""
+    if word[0] == " " and word.isascii() and word[1:].isalnum():
+        return _BLANK + word[1:]
     return word.encode().decode("latin-1").translate(_SIGNS)
 
 
 class Encoder(WordStore):
     """Encodes lists of texts with one vocabulary file: ``byte_bpe_*.json`` or ``word_bpe_*.json``."""
 
-    def __init__(self, file: str):
-        super().__init__()
+    def __init__(self, file: str, cached: int = 300_000):
+        super().__init__(cached)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -132,7 +170,7 @@ class Encoder(WordStore):
         self.added = {token.content for token in self.whole.get_added_tokens_decoder().values()}
         self.merges = self.whole.model
         self.lower = self.whole.normalizer is not None
-        self.split = re.compile(WORD_RULE if self.lower else BYTE_RULE).findall
+        self.split = re.compile(WORD_RULE).findall
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         merged = self.merges.tokenize
@@ -143,15 +181,9 @@ class Encoder(WordStore):
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another (uint32) and the number of ids of each text (int64)."""
         odd = [i for i, text in enumerate(texts) if _odd(text) or any(token in text for token in self.added)]
-        split, lower = self.split, self.lower
         skipped = set(odd)
-        words = [[] if i in skipped else split(text.lower() if lower else text) for i, text in enumerate(texts)]
-        flat = [word for text in words for word in text]
-        ids, lengths = self.look_up(flat)
-        per_text = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.concatenate(([0], np.cumsum(lengths)))
-        text_ends = np.concatenate(([0], np.cumsum(per_text)))
-        counts = ends[text_ends[1:]] - ends[text_ends[:-1]]
+        plain = ["" if i in skipped else text for i, text in enumerate(texts)]
+        ids, counts = self._rule_words(plain) if self.lower else self._byte_words(plain)
         if odd:
             whole = [np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, np.uint32) for i in odd]
             parts = np.split(ids, np.cumsum(counts)[:-1])
@@ -160,15 +192,43 @@ class Encoder(WordStore):
             ids = np.concatenate(parts)
         return ids, counts
 
+    def _rule_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        words = [self.split(text.lower()) for text in texts]
+        ids, lengths = self.look_up([word for text in words for word in text])
+        per_text = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        text_ends = np.concatenate(([0], np.cumsum(per_text)))
+        return ids, ends[text_ends[1:]] - ends[text_ends[:-1]]
+
+    def _byte_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        joined = "".join(texts)
+        data = joined.encode("latin-1")
+        if not data:
+            return np.zeros(0, np.uint32), sizes
+        text_ends = np.cumsum(sizes)
+        begins = byte_words(data, (text_ends - sizes)[sizes > 0])
+        bounds = np.append(begins, len(data)).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        offsets, values = words.dictionary.buffers()[1:]
+        cuts = np.frombuffer(offsets, np.int64, len(words.dictionary) + 1).tolist()
+        known = values.to_pybytes().decode("latin-1")
+        distinct, distinct_counts = self.look_up([known[i:j] for i, j in zip(cuts, cuts[1:])])
+        which = words.indices.to_numpy()
+        lengths = distinct_counts[which]
+        ids = distinct[ranges((np.cumsum(distinct_counts) - distinct_counts)[which], lengths)]
+        ends = np.concatenate(([0], np.cumsum(lengths)))[np.searchsorted(begins, text_ends)]
+        return ids, np.diff(ends, prepend=0)
+
     def encode_ended(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The same with ``end_id`` appended to each text."""
         ids, counts = self.encode(texts)
         return np.insert(ids, np.cumsum(counts), np.uint32(end_id)), counts + 1
 
 
-def encoder(file: str) -> Encoder:
-    """One encoder per worker process and file; its words stay known from task to task."""
-    if (Encoder, file) not in worker_caches:
+def encoder(file: str, cached: int = 300_000) -> Encoder:
+    """One encoder per worker process, file and number of known words; its words stay known from task to task."""
+    if (Encoder, file, cached) not in worker_caches:
         tidy()
-        worker_caches[Encoder, file] = Encoder(file)
-    return worker_caches[Encoder, file]
+        worker_caches[Encoder, file, cached] = Encoder(file, cached)
+    return worker_caches[Encoder, file, cached]

@@ -7,7 +7,7 @@ one longer document): a header with the documents' keys and numbers of ids, and
 damage is found and stays in its block. Files are written and read by Spark, as a table with one
 binary column per frame, so they can lie in any store.
 
-Frame, little-endian: ``CMR1``, number of documents, number of blocks and size of the vocabulary
+Frame, little-endian: ``CMR2``, number of documents, number of blocks and size of the vocabulary
 (u32 each); per document key (i64), 1 if the key is null (u8), number of ids (u64); per block number
 of ids, CRC-32 of the ids as u32, bytes of the code (u32 each); CRC-32 of all before; the codes.
 
@@ -33,6 +33,8 @@ from webtext.llm.rows import binary_column, slices, texts_of
 from webtext.session import materialise
 
 BLOCK, FRAME, TOGETHER = 4_096, 65_536, 1_536
+#: Words that an encoder of the writer keeps: texts have many rare ones, and each new one goes through the merges.
+WORDS = 1_000_000
 FILE = "part int, frame int, start bigint, n_ids bigint, data binary"
 _HEAD = struct.Struct("<4sIII")
 
@@ -52,7 +54,7 @@ def pack_frames(frames: list[tuple[list[int | None], np.ndarray, np.ndarray]], v
         table = np.array([(len(b), zlib.crc32(b.astype("<u4").tobytes()), len(c)) for b, c in zip(own, code)], "<u4").reshape(-1, 3)
         head = b"".join(
             (
-                _HEAD.pack(b"CMR1", len(keys), n, vocabulary),
+                _HEAD.pack(b"CMR2", len(keys), n, vocabulary),
                 np.array([k or 0 for k in keys], "<i8").tobytes(),
                 np.array([k is None for k in keys], np.uint8).tobytes(),
                 counts.astype("<u8").tobytes(),
@@ -69,7 +71,7 @@ def unpack_frames(datas: list[bytes]) -> list[tuple[list[int | None], np.ndarray
     for data in datas:
         magic, docs, blocks, vocabulary = _HEAD.unpack_from(data)
         at = _HEAD.size + 17 * docs + 12 * blocks
-        if magic != b"CMR1" or len(data) < at + 4 or zlib.crc32(data[:at]) != struct.unpack_from("<I", data, at)[0]:
+        if magic != b"CMR2" or len(data) < at + 4 or zlib.crc32(data[:at]) != struct.unpack_from("<I", data, at)[0]:
             raise ValueError("not a frame, or its header is damaged")
         keys = np.frombuffer(data, "<i8", docs, _HEAD.size)
         null = np.frombuffer(data, np.uint8, docs, _HEAD.size + 8 * docs)
@@ -101,7 +103,7 @@ def write(docs: DataFrame, path: str, file: str, end_id: int, key: str = "doc_id
     spark = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(file)
+        encode = encoder(file, WORDS)
         vocabulary = encode.whole.get_vocab_size()
         part, frame, start = TaskContext.get().partitionId(), 0, 0
         waiting: list[tuple[list[int | None], np.ndarray, np.ndarray]] = []
@@ -132,16 +134,21 @@ def write(docs: DataFrame, path: str, file: str, end_id: int, key: str = "doc_id
             frame, start, waiting, blocks = frame + len(n), start + int(n.sum()), [], 0
             return pa.RecordBatch.from_arrays(columns, names=["part", "frame", "start", "n_ids", "data"])
 
-        for piece in slices(batches, "text", 200_000):
+        for piece in slices(batches, "text"):
             ids, number = encode.encode_ended(texts_of(piece), end_id)
-            keys += piece.column("doc_id").to_pylist()
-            counts.append(number)
-            parts.append(ids)
-            held += len(ids)
-            if held >= FRAME:
-                close()
-            if blocks >= TOGETHER:
-                yield flush()
+            names, ends, first = piece.column("doc_id").to_pylist(), np.cumsum(number), 0
+            while first < len(names):  # the documents that fill the frame, and the one that ends it
+                before = int(ends[first - 1]) if first else 0
+                stop = min(len(names), int(np.searchsorted(ends, before + FRAME - held)) + 1)
+                keys += names[first:stop]
+                counts.append(number[first:stop])
+                parts.append(ids[before : ends[stop - 1]])
+                held += int(ends[stop - 1]) - before
+                first = stop
+                if held >= FRAME:
+                    close()
+                if blocks >= TOGETHER:
+                    yield flush()
         if keys:
             close()
         if waiting:

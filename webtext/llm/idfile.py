@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 
 from webtext.llm import rangecoder
 from webtext.llm.encode import encoder
-from webtext.llm.rows import binary_column, slices, texts_of
+from webtext.llm.rows import SLICE_BYTES, binary_column, slices, texts_of
 from webtext.session import materialise
 
 BLOCK, FRAME, TOGETHER = 4_096, 65_536, 1_536
 #: Words that an encoder of the writer keeps: texts have many rare ones, and each new one goes through the merges.
-WORDS = 1_000_000
+WORDS = 700_000
 FILE = "part int, frame int, start bigint, n_ids bigint, data binary"
 _HEAD = struct.Struct("<4sIII")
 
@@ -134,7 +134,7 @@ def write(docs: DataFrame, path: str, file: str, end_id: int, key: str = "doc_id
             frame, start, waiting, blocks = frame + len(n), start + int(n.sum()), [], 0
             return pa.RecordBatch.from_arrays(columns, names=["part", "frame", "start", "n_ids", "data"])
 
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", SLICE_BYTES // 2):
             ids, number = encode.encode_ended(texts_of(piece), end_id)
             names, ends, first = piece.column("doc_id").to_pylist(), np.cumsum(number), 0
             while first < len(names):  # the documents that fill the frame, and the one that ends it

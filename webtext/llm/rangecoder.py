@@ -35,13 +35,13 @@ _HASH = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _HIST, _NEW, _HIT = 0, 1, 2  # how an id is coded: by the counts, by the prior, by the guess
 _STATE, _HIGH = 56, np.uint64(40)
 _LOW1, _LOW2 = np.uint64(1 << 40), np.uint64(1 << 24)  # below these widths, one or two words of 16 bits go out
-_A, _WORD, _HIGH32, _MASK, _MASK22 = np.uint64(24), np.uint64(16), np.uint64(32), np.uint64(0xFFFF), np.uint64((1 << 22) - 1)
+_TWELVE, _FULL, _A, _WORD, _HIGH32, _MASK, _MASK22 = np.uint64(12), np.uint64(4096), np.uint64(24), np.uint64(16), np.uint64(32), np.uint64(0xFFFF), np.uint64((1 << 22) - 1)
 _KEPT = np.array([(1 << 57) - 1, (1 << 40) - 1, (1 << 24) - 1], np.uint64)
 
 # ln(p / (1 - p)) in steps of 1/256 for p in 1/4096, and back.
 _HALF = 2048
 _STRETCH = np.array([round(256 * math.log((p + 0.5) / (4095.5 - p))) for p in range(4096)], np.int32)
-_SQUASH = np.array([min(4064, max(32, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-_HALF, _HALF)], np.int32)
+_SQUASH = np.array([min(4064, max(32, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-_HALF, _HALF)], np.uint64)
 
 
 @functools.lru_cache(4)
@@ -71,19 +71,19 @@ class Model:
     def __init__(self, lanes: int, vocabulary: int):
         self.bits, self.begin, self.width, self.at = _prior(vocabulary)
         self.lane = np.arange(lanes, dtype=np.int64)
-        self.tables = [np.zeros(lanes << bits, np.uint32) for bits in _SLOTS]  # id * 16 + level * 4 + confidence
+        self.tables = [np.zeros(lanes << bits, np.uint32) for bits in _SLOTS]  # id << 7 | confidence << 5 (order 1) or 3 (order 2) | level
         self.offsets = [(self.lane << bits).view(np.uint64) for bits in _SLOTS]
         self.hits = [np.zeros((size, lanes), np.int32) for size in (8, 8, 4)]
         self.seen = [np.zeros((size, lanes), np.int32) for size in (8, 8, 4)]
         self.weights = np.full((3, lanes), 26_000, np.int32)
         self.fresh, self.missed = np.zeros((3, lanes), np.int32), np.zeros((3, lanes), np.int32)
-        self.escape = np.full(3 * lanes, 4096, np.uint32)  # by how the id before was coded, and lane
+        self.escape = np.full(3 * lanes, 4096, np.uint64)  # by how the id before was coded, and lane
         self.total = self.spare = np.uint64(self.bits)
         self.history = 0  # ids in the order-0 counts of each block; so many bits are spare in a total of theirs
         self._mix()
 
     def _mix(self) -> None:
-        """The chance, in 1/4096, that a guess is right in each of 128 contexts: k1, k2, same guess, level."""
+        """The chance, in 1/4096, that a guess is right in each of 128 contexts: k1, k2, whether the guesses differ, level."""
         self.inputs = [_STRETCH[(10 * h + 4) * 4096 // (10 * s + 20)] for h, s in zip(self.hits, self.seen)]
         one, two, none = (i * w for i, w in zip(self.inputs, self.weights))
         n = len(self.lane)
@@ -102,16 +102,17 @@ class Model:
     def guess(self, at1: np.ndarray, at2: np.ndarray, n: int, either: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Entries of both orders, the chosen one, and the context (of 128 for each lane) of its chance."""
         one, two = self.tables[0].take(at1, mode="clip"), self.tables[1].take(at2, mode="clip")
-        k1, k2 = one & 3, two & 3
-        chosen = either(k2 >= k1, two, one)
-        k1 <<= 5
-        k2 <<= 3
+        k1, k2 = one & 96, two & 24
+        chosen = either(k2 << 2 >= k1, two, one)
         k1 += k2
-        k1 += ((one ^ two) < 16).view(np.uint8) << 2
-        k2 = chosen >> 2
-        k2 &= 3
-        k1 += k2
-        return one, two, chosen, k1 * np.int64(n) + self.lane
+        differ = np.minimum((one ^ two) >> 7, 1)
+        differ <<= 2
+        k1 += differ
+        k1 += chosen & 3
+        context = k1.astype(np.int64)
+        context *= n
+        context += self.lane
+        return one, two, chosen, context
 
     def count(self, data: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Takes the order-0 counts of ``data`` (ids by lane): the sorted ids, and first place * 65536 + count of each."""
@@ -126,23 +127,23 @@ class Model:
         return ids, np.repeat((((begins & (size - 1)) << 16) + counts).astype(np.uint32), counts).reshape(n, size)
 
     def level(self, count: np.ndarray) -> np.ndarray:
-        """How often an id with this count occurs: 0 (not at all) to 3, as it stands in an entry."""
+        """How often an id with this count occurs: 0 (not at all) to 3."""
         high = max(2, self.history >> 6), max(3, self.history >> 4)
-        return ((count > 0).view(np.uint8) + (count >= high[0]).view(np.uint8) + (count >= high[1]).view(np.uint8)).astype(np.uint32) << 2
+        return ((count > 0).view(np.uint8) + (count >= high[0]).view(np.uint8) + (count >= high[1]).view(np.uint8)).astype(np.uint32)
 
     def learn(self, n: int, ids: np.ndarray, at: tuple, entries: tuple, context: np.ndarray, kind: np.ndarray, kind_before: np.ndarray, count: np.ndarray) -> None:
         """Learns from a segment: arrays of ids in turn by lanes."""
         one, two, chosen = entries
         hit = kind == _HIT
-        told = (ids.astype(np.uint32) << 4) | _either(hit, chosen & 12, self.level(_either(kind == _HIST, count, np.uint32(0))))
-        for table, places, was in ((self.tables[0], at[0], one), (self.tables[1], at[1], two)):
-            k = was & 3
-            same = ((was ^ told) < 16) & (k > 0)
-            entry = _either(same, told + np.minimum(k + 1, 3), _either(k > 1, was - 1, told + 1))
+        told = (ids << 7) | _either(hit, chosen & 3, self.level(_either(kind == _HIST, count, np.uint32(0))))
+        for table, places, was, bit in ((self.tables[0], at[0], one, 5), (self.tables[1], at[1], two, 3)):
+            once, k = np.uint32(1 << bit), was & (3 << bit)
+            same = ((was ^ told) < 128) & (k > 0)
+            entry = _either(same, told + np.minimum(k + once, 3 * once), _either(k > once, was - once, told + once))
             table[places.reshape(-1)] = entry.reshape(-1)  # of equal places the last one stays
         both = np.bincount((context + hit * np.int64(n << 7)).reshape(-1), minlength=n << 8).reshape(2, -1)
         right, seen = both[1], both[0] + both[1]
-        error = (right << 12) - seen * self.chances
+        error = (right << 12) - seen * self.chances.view(np.int64)
         shape, axes = (4, 4, 2, 4, n), ((1, 3), (0, 3), (0, 1, 2))
         for i, axis in enumerate(axes):
             lost, *more = (x.reshape(shape).sum(axis=axis).reshape(-1, n) for x in (error, right, seen))
@@ -173,9 +174,9 @@ class Model:
     def _escape(self) -> None:
         """The chance, in 1/4096, that an id that was not guessed is none of the order-0 counts."""
         if not self.history:
-            self.escape = np.full(3 * len(self.lane), 4096, np.uint32)
+            self.escape = np.full(3 * len(self.lane), 4096, np.uint64)
         else:
-            self.escape = np.clip((self.fresh + 32) * 4096 // (self.missed + 64), 32, 4064).astype(np.uint32).reshape(-1)
+            self.escape = np.clip((self.fresh + 32) * 4096 // (self.missed + 64), 32, 4064).astype(np.uint64).reshape(-1)
 
 
 def _segments(longest: int) -> Iterator[tuple[int, int]]:
@@ -195,8 +196,11 @@ def _counted(begin: int) -> int:
 
 def _spans(chance: np.ndarray, escape: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ends of the spans of guess and prior in 1/2**24; the rest goes to the order-0 counts."""
-    guessed = chance << 12
-    return guessed, guessed + (4096 - chance) * escape
+    guessed = chance << _TWELVE
+    prior = _FULL - chance
+    prior *= escape
+    prior += guessed
+    return guessed, prior
 
 
 def _groups(sizes: np.ndarray, most: int) -> list[np.ndarray]:
@@ -225,13 +229,12 @@ def _encode(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     by_lane = np.zeros((lanes, longest), np.uint32)
     for lane, block in enumerate(blocks):
         by_lane[lane, : len(block)] = block
-    data = np.zeros((longest + 2, lanes), np.uint64)
+    data = np.zeros((longest + 2, lanes), np.uint32)
     data[2:] = by_lane.T  # two ids 0 stand before the first
     model = Model(lanes, vocabulary)
     held = np.zeros(vocabulary, np.uint32)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, (1 << _STATE) - 1, np.uint64)
-    room = 2 * longest
-    out, filled = np.zeros(lanes * room, np.uint32), np.arange(lanes, dtype=np.int64) * room
+    put: list[tuple[np.ndarray, np.ndarray]] = []
     active = _active(sizes)
     found, known = np.zeros((0, lanes), np.uint32), 0
     kind_last = np.zeros(lanes, np.uint8)
@@ -249,21 +252,21 @@ def _encode(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
                 held[own] = 0
             found, known = np.ascontiguousarray(looked.T), begin
         ids = data[begin + 2 : end + 2, :n]
-        at = model.places(data[begin + 1 : end + 1, :n], data[begin:end, :n], n)
+        at = model.places(data[begin + 1 : end + 1, :n].astype(np.uint64), data[begin:end, :n], n)
         one, two, chosen, context = model.guess(*at, n, _either)
         span = found[begin - known : end - known, :n] if model.history else np.zeros(ids.shape, np.uint32)
         count = span & 0xFFFF
-        hit, new = (chosen >> 4) == ids, count == 0
+        hit, new = (chosen >> 7) == ids, count == 0
         kind = np.maximum(new.view(np.uint8), hit.view(np.uint8) << 1)
         kind_before = np.concatenate((kind_last[None, :n], kind[:-1]))
-        guessed, prior = _spans(model.chances.take(context).view(np.uint32), model.escape.take(np.int64(n) * kind_before + model.lane))
+        guessed, prior = (x.astype(np.uint32) for x in _spans(model.chances.take(context), model.escape.take(np.int64(n) * kind_before + model.lane)))
         nothing = np.uint32(0)
         start = _either(hit, nothing, _either(new, guessed, prior))
         size = _either(hit | new, _either(hit, guessed, prior), np.uint32(1 << 24)) - start
         inner = _either(hit, nothing, span >> 16) << np.uint32(model.spare)
         part = _either(hit, np.uint32(model.history or 1), count) << np.uint32(model.spare)
         is_new = np.flatnonzero(kind == _NEW)
-        asked = ids.reshape(-1).take(is_new).view(np.int64)
+        asked = ids.reshape(-1).take(is_new)
         inner.reshape(-1)[is_new], part.reshape(-1)[is_new] = model.begin.take(asked), model.width.take(asked)
         start, size, inner, part = (x.astype(np.uint64) for x in (start, size, inner, part))
         tops, taken = np.zeros((end - begin, n), np.uint64), np.zeros((end - begin, n), np.uint8)
@@ -286,12 +289,18 @@ def _encode(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
         words = np.stack((tops.T >> _WORD, tops.T & _MASK), axis=2).astype(np.uint32)
         which = np.stack((taken.T > 0, taken.T > 1), axis=2)
         many = taken.sum(axis=0, dtype=np.int64)
-        out[ranges(filled[:n], many)] = words[which]
-        filled[:n] += many
+        put.append((words[which], many))
         model.learn(n, ids, at, (one, two, chosen), context, kind, kind_before, count)
         kind_last = kind[-1]
-    filled -= np.arange(lanes) * room
-    return [_bytes(row[:n], begin, size) for row, n, begin, size in zip(out.reshape(lanes, room), filled.tolist(), low.tolist(), width.tolist())]
+    sums = np.zeros(lanes, np.int64)
+    for _, many in put:
+        sums[: len(many)] += many
+    filled = np.cumsum(sums) - sums
+    out = np.empty(int(sums.sum()), np.uint32)
+    for flat, many in put:
+        out[ranges(filled[: len(many)], many)] = flat
+        filled[: len(many)] += many
+    return [_bytes(row, *state) for row, *state in zip(np.split(out, np.cumsum(sums)[:-1]), low.tolist(), width.tolist())]
 
 
 def _bytes(words: np.ndarray, low: int, width: int) -> bytes:
@@ -326,23 +335,24 @@ def _decode(codes: list[bytes], sizes: np.ndarray, vocabulary: int) -> np.ndarra
     read = np.arange(lanes, dtype=np.int64) * room
     model = Model(lanes, vocabulary)
     width = np.full(lanes, (1 << _STATE) - 1, np.uint64)
-    active, data = _active(sizes), np.zeros((longest + 2, lanes), np.uint64)
+    active, data = _active(sizes), np.zeros((longest, lanes), np.uint32)
+    last, before = np.zeros(lanes, np.uint64), np.zeros(lanes, np.uint64)
     spans = np.zeros(0, np.uint64)
-    kind_before, top, all_of, whole = np.zeros(lanes, np.uint8), np.uint64((1 << model.bits) - 1), np.uint64(1 << model.bits), np.uint32(1 << 24)
+    kind_before, top, all_of, whole = np.zeros(lanes, np.uint8), np.uint64((1 << model.bits) - 1), np.uint64(1 << model.bits), np.uint64(1 << 24)
     for begin, end in _segments(longest):
         n = active[begin]
         model.keep(n)
         if history := _counted(begin):
-            sorted_ids, spans = model.count(np.ascontiguousarray(data[begin + 2 - history : begin + 2, :n].T).astype(np.uint32), n)
+            sorted_ids, spans = model.count(data[begin - history : begin, :n].T, n)
             spans = ((sorted_ids.astype(np.uint64) << np.uint64(32)) | spans).reshape(-1)
-        value, width, read, kind_before = value[:n], width[:n], read[:n], kind_before[:n]
+        value, width, read, kind_before, last, before = (x[:n] for x in (value, width, read, kind_before, last, before))
         lane, history, wide = model.lane, model.history, np.int64(n)
         base, limit = lane * history, np.uint64(max(history - 1, 0))
         kept, spare = [], model.spare
         for t in range(begin, end):
-            at1, at2 = model.places(data[t + 1, :n], data[t, :n], n)
+            at1, at2 = model.places(last, before, n)
             one, two, chosen, context = model.guess(at1, at2, n, np.where)
-            guessed, prior = _spans(model.chances.take(context, mode="clip").view(np.uint32), model.escape.take(wide * kind_before + lane, mode="clip"))
+            guessed, prior = _spans(model.chances.take(context, mode="clip"), model.escape.take(wide * kind_before + lane, mode="clip"))
             unit = width >> _A
             hit = value < unit * guessed
             new = value < unit * prior  # hits too
@@ -354,7 +364,8 @@ def _decode(codes: list[bytes], sizes: np.ndarray, vocabulary: int) -> np.ndarra
             size -= start
             hits, fresh = np.flatnonzero(hit), np.flatnonzero(kind == _NEW)
             start[hits], size[hits] = 0, guessed.take(hits)
-            value = value - unit * start
+            start *= unit
+            value = value - start
             unit *= size
             unit >>= model.total
             place = value // unit
@@ -370,18 +381,22 @@ def _decode(codes: list[bytes], sizes: np.ndarray, vocabulary: int) -> np.ndarra
             if len(fresh):
                 named = model.at.take(np.minimum(place.take(fresh), top).view(np.int64))
                 ids[fresh], inner[fresh], part[fresh] = named >> np.uint64(44), (named >> np.uint64(22)) & _MASK22, named & _MASK22
-            ids[hits], inner[hits], part[hits] = chosen.take(hits) >> 4, 0, all_of
+            ids[hits], inner[hits], part[hits] = chosen.take(hits) >> 7, 0, all_of
             value -= unit * inner
             width = unit * part
-            taken = (width < _LOW1).view(np.uint8) + (width < _LOW2).view(np.uint8)
-            moved = taken << 4
+            taken = ((width < _LOW1).view(np.uint8) + (width < _LOW2).view(np.uint8)).astype(np.int64)
+            coming = words.take(read, mode="clip").astype(np.uint64)
+            read = read + taken
+            taken <<= 4
+            moved = taken.view(np.uint64)
             width <<= moved
             value <<= moved
-            value |= words.take(read, mode="clip") >> (np.uint8(32) - moved)
-            read = read + taken
-            data[t + 2, :n] = ids
+            coming >>= _HIGH32 - moved
+            value |= coming
+            data[t, :n] = ids
+            last, before = ids, last
             kept.append((at1, at2, one, two, chosen, context, kind, kind_before, count))
             kind_before = kind
-        at1, at2, one, two, chosen, context, kind, before, count = (np.stack(x) for x in zip(*kept))
-        model.learn(n, data[begin + 2 : end + 2, :n], (at1, at2), (one, two, chosen), context, kind, before, count)
-    return np.ascontiguousarray(data[2:].T).astype(np.uint32)
+        at1, at2, one, two, chosen, context, kind, kinds_before, count = (np.stack(x) for x in zip(*kept))
+        model.learn(n, data[begin:end, :n], (at1, at2), (one, two, chosen), context, kind, kinds_before, count)
+    return np.ascontiguousarray(data.T)

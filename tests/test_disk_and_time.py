@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import glob
+import math
 import os
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 from webtext import session
-from webtext.operators import lemmas
+from webtext.operators import cooccurrence, lemmas
 
 
 def test_tags_are_made_once_a_row(spark, monkeypatch):
@@ -49,3 +52,40 @@ def test_written_tables_leave_no_shuffle_files(spark):
 def _shuffle_files(spark):
     dirs = spark._jsc.sc().env().blockManager().diskBlockManager().localDirs()
     return {path for d in dirs for path in glob.glob(f"{d.getPath()}/*/shuffle_*")}
+
+
+ROWS = [["a", "b", None, "a", "a"], ["c", "b", "a", "é"], [], None, ["a"] * 4, ["é", "c", "b"], ["rare", "a", "b", "c"]]
+
+
+def test_pairs_of_many_chunks_and_parts(spark, monkeypatch):
+    """Chunks and parts of a few tokens count as one pass over all rows; a rare word keeps its place."""
+    monkeypatch.setattr(cooccurrence, "CHUNK_TOKENS", 5)
+    monkeypatch.setattr(cooccurrence, "PART_PAIRS", 7)
+    df = spark.createDataFrame([(row,) for row in ROWS], "t array<string>").repartition(3)
+    often = Counter(w for row in ROWS for w in row or [])
+    for least in (1, 2):
+        want = Counter()
+        for row in ROWS:
+            for i, x in enumerate(row or []):
+                for y in row[i + 1 : i + 3]:
+                    if x and y and min(often[x], often[y]) >= least:
+                        want[x, y] += 1
+                        want[y, x] += 1
+        _, counted = cooccurrence._half(df, "t", 2, least)
+        assert dict(counted.dtypes) == {"a": "bigint", "b": "bigint", "n": "bigint"}
+        total, sums = sum(want.values()), Counter()
+        for (x, _), n in want.items():
+            sums[x] += n
+        pmi = {(r.a, r.b): r.pmi for r in cooccurrence.shifted_pmi(df, "t", 2, least).collect()}
+        expected = {k: math.log(n * total / (sums[k[0]] * sums[k[1]])) for k, n in want.items()}
+        assert pmi == pytest.approx({k: x for k, x in expected.items() if x > 0})
+
+
+def test_training_leaves_its_result_alone(spark):
+    """Pairs, weights, blocks and the factors of all rounds are gone when the vectors are written."""
+    df = spark.createDataFrame([(row,) for row in ROWS], "t array<string>")
+    folder = f"{session.shared_dir(spark).removeprefix('file://')}/webtext"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    vectors = cooccurrence.train(df, "t", size=3, window=2, rounds=2)
+    assert {name.rpartition("-")[0] for name in set(os.listdir(folder)) - before} == {"word-vectors"}
+    assert vectors.table.count() == 5

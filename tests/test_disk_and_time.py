@@ -7,10 +7,12 @@ import math
 import os
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from webtext import session
-from webtext.operators import cooccurrence, lemmas
+from webtext.operators import cooccurrence, embedding, lemmas
+from webtext.operators.embedding import WordVectors
 
 
 def test_tags_are_made_once_a_row(spark, monkeypatch):
@@ -89,3 +91,25 @@ def test_training_leaves_its_result_alone(spark):
     vectors = cooccurrence.train(df, "t", size=3, window=2, rounds=2)
     assert {name.rpartition("-")[0] for name in set(os.listdir(folder)) - before} == {"word-vectors"}
     assert vectors.table.count() == 5
+
+
+def test_blocks_trained_in_one_task_give_sums(spark, monkeypatch):
+    """A word of several blocks of a task leaves it once, and the mean is that of a task for each block."""
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([([f"w{i}" for i in rng.integers(0, 9, 20)],) for _ in range(90)], "t array<string>").coalesce(1)
+    df = session.materialise(df, "given")
+    got, sent = {}, {}
+    for together in (1, 6):
+        monkeypatch.setattr(embedding, "TOGETHER", together)
+        monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda _: 1))
+        made = []
+        monkeypatch.setattr(embedding, "materialise", lambda x, name: made.append((name, x)) or session.materialise(x, name))
+        discarded = []
+        monkeypatch.setattr(embedding, "discard", lambda *tables: discarded.extend(tables))
+        got[together] = {r.word: r.vector for r in WordVectors.train(df, "t", size=4, partitions=6).table.collect()}
+        plan = dict(made)["word-vectors"]._jdf.queryExecution().optimizedPlan().toString()
+        assert "sum(times" in plan
+        sent[together] = len(discarded)
+    assert set(got[1]) == set(got[6]) == {f"w{i}" for i in range(9)} and sent == {1: 2, 6: 2}
+    for word, vector in got[1].items():
+        assert vector == pytest.approx(got[6][word], rel=1e-5, abs=1e-7)
